@@ -211,7 +211,7 @@ class NearDuplicates:
     counts once); an empty table gives empty tables.
     """
 
-    def __init__(self, df: DataFrame, id_col: str = "file_id", text_col: str = "content", words: int = 5, similarity: float = 0.8, min_words: int = 20, recall: float = 0.99) -> None:
+    def __init__(self, df: DataFrame, id_col: str = "file_id", text_col: str = "content", words: int = 5, similarity: float = 0.8, min_words: int = 20, recall: float = 0.999) -> None:
         self.rows = materialize(shingle_rows(df, id_col, text_col, words, min_words), "shingles")
         classes = self.rows.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
         several = materialize(classes.where("copies > 1").select("digest", "rep"), "classes")
