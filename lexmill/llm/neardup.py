@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.components import components
 from lexmill.llm.vec import Codes, ascii_word_table, chunks, grams, mix
-from lexmill.runtime import materialize
+from lexmill.runtime import discard, materialize
 
-#: A sketch has PARTS partitions of WIDTH min-hash values; each value is kept in 32 bits.
+#: A sketch has PARTS partitions of WIDTH min-hash values of 16 bits; all low bytes come first, then all high ones.
 PARTS, WIDTH = 24, 3
 _SEEDS = mix(np.arange(1, PARTS * WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 _BUCKETS = 1024
+#: What a candidate costs beside a signature, in bytes moved: both sketches and four times the pair, against one row.
+CANDIDATE_WEIGHT = 10.0
 #: A partition's threshold: skipped, no value may differ, one may.
 THRESHOLDS = (-1, 0, 1)
 
@@ -51,9 +53,10 @@ def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_word
                     continue
                 flat = np.concatenate([s for _, s in out])
                 starts = np.cumsum([0] + [len(s) for _, s in out])[:-1]
-                sketch = np.empty((len(out), PARTS * WIDTH), dtype=np.uint32)
+                sketch = np.empty((len(out), 2 * PARTS * WIDTH), dtype=np.uint8)
                 for j, seed in enumerate(_SEEDS):
-                    sketch[:, j] = np.minimum.reduceat((flat * seed) >> np.uint64(32), starts).astype(np.uint32)
+                    value = mix(np.minimum.reduceat(flat * seed, starts))
+                    sketch[:, j], sketch[:, PARTS * WIDTH + j] = value & np.uint64(255), (value >> np.uint64(8)) & np.uint64(255)
                 yield pd.DataFrame({
                     "id": [i for i, _ in out], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for _, s in out], "n": [len(s) for _, s in out],
                     "sketch": [r.tobytes() for r in sketch], "shingles": [np.unique((s >> np.uint64(32)).astype(np.uint32)).astype(np.int64).astype(np.int32) for _, s in out],
@@ -67,12 +70,17 @@ def _signature(values: np.ndarray, part: int, subset: tuple[int, ...]) -> np.nda
     """A 64-bit signature of some values of a partition, for all rows of a batch."""
     out = np.full(len(values), np.uint64((part * 8 + sum(1 << s for s in subset) + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     for s in subset:
-        out = mix(out ^ (values[:, part * WIDTH + s].astype(np.uint64) + np.uint64(0x51ED2701)))
+        out = mix(out ^ (values[:, part * WIDTH + s] + np.uint64(0x51ED2701)))
     return out
 
 
+def _bytes(sketches, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, sketches)), dtype=np.uint8).reshape(-1, width)
+
+
 def _matrix(sketches) -> np.ndarray:
-    return np.frombuffer(b"".join(map(bytes, sketches)), dtype=np.uint32).reshape(-1, PARTS * WIDTH)
+    both = _bytes(sketches, 2 * PARTS * WIDTH).astype(np.uint64)
+    return both[:, : PARTS * WIDTH] | both[:, PARTS * WIDTH :] << np.uint64(8)
 
 
 def estimate_candidates(sketches: DataFrame) -> dict[tuple[int, int], float]:
@@ -127,15 +135,15 @@ def allocate(candidates: dict[tuple[int, int], float], rows: int, similarity: fl
         for reached, (cost, chosen) in best.items():
             for threshold in THRESHOLDS:
                 to = min(goal, reached + gain(threshold))
-                worth = cost + candidates.get((part, threshold), 0.0) + rows * len(_subsets(threshold))
+                worth = cost + CANDIDATE_WEIGHT * candidates.get((part, threshold), 0.0) + rows * len(_subsets(threshold))
                 if to not in after or worth < after[to][0]:
                     after[to] = (worth, [*chosen, threshold])
         best = after
     return best[max(best)][1]
 
 
-def candidate_pairs(sketches: DataFrame, thresholds: list[int], group_limit: int = 256) -> DataFrame:
-    """(``a``, ``b``), ``a < b``: the pairs that share a signature, each once.
+def candidate_pairs(sketches: DataFrame, thresholds: list[int], group_limit: int = 256) -> tuple[DataFrame, DataFrame]:
+    """The written table of pairs as found, and (``a``, ``b``), ``a < b``: the pairs that share a signature, each once.
 
     Signatures are grouped by one shuffle; a group of up to ``group_limit`` rows gives its pairs where it lies; the
     rows of larger groups are joined in salted blocks, so that no task holds such a group.
@@ -193,7 +201,7 @@ def candidate_pairs(sketches: DataFrame, thresholds: list[int], group_limit: int
     left = heavy.select("sig", F.col("id").alias("a"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
     right = heavy.select("sig", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     large = left.join(right, ["sig", "block"]).where("a < b").select("a", "b")
-    return small.unionByName(large).distinct()
+    return found, small.unionByName(large).distinct()
 
 
 class NearDuplicates:
@@ -222,8 +230,10 @@ class NearDuplicates:
         counts = estimate_candidates(distinct)
         n = self.rows.count()
         self.thresholds = allocate(counts, n, similarity, recall)
-        found = materialize(candidate_pairs(distinct, self.thresholds), "candidates")
-        self.links = materialize(self._verified(found, similarity), "links")
+        raw, pairs = candidate_pairs(distinct, self.thresholds)
+        found = materialize(pairs, "candidates")
+        discard(raw)
+        self.links = self._verified(found, similarity)
 
     def _verified(self, found: DataFrame, similarity: float) -> DataFrame:
         values = PARTS * WIDTH
@@ -231,19 +241,24 @@ class NearDuplicates:
 
         def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                same = (_matrix(pdf["sa"].array) == _matrix(pdf["sb"].array)).sum(axis=1) if len(pdf) else np.zeros(0)
+                same = (_bytes(pdf["sa"].array, values) == _bytes(pdf["sb"].array, values)).sum(axis=1)
                 yield pdf.loc[same >= least, ["a", "b"]]
 
         side = lambda name, cols: self.rows.select(F.col("id").alias(name), *cols)
-        sketched = found.join(side("a", [F.col("sketch").alias("sa")]), "a").join(side("b", [F.col("sketch").alias("sb")]), "b")
+        brief = F.substring("sketch", 1, values)  # the low bytes are enough to rule a pair out
+        sketched = found.join(side("a", [brief.alias("sa")]), "a").join(side("b", [brief.alias("sb")]), "b")
         kept = materialize(sketched.mapInPandas(near, "a long, b long"), "kept")
+        discard(found)
         ends = kept.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = materialize(self.rows.select("id", "shingles").join(ends, "id"), "sets")
         pick = lambda name, as_: sets.select(F.col("id").alias(name), F.col("shingles").alias(as_))
         both = kept.join(pick("a", "xa"), "a").join(pick("b", "xb"), "b")
         common = F.size(F.array_intersect("xa", "xb"))
         joined = both.select("a", "b", (common / (F.size("xa") + F.size("xb") - common)).alias("jaccard"))
-        return joined.where(F.col("jaccard") >= similarity - 1e-12).dropDuplicates(["a", "b"])
+        links = materialize(joined.where(F.col("jaccard") >= similarity - 1e-12).dropDuplicates(["a", "b"]), "links")
+        discard(kept)
+        discard(sets)
+        return links
 
     def members(self) -> DataFrame:
         """(``id``, ``rep``) for each record that has a class."""
