@@ -2,6 +2,161 @@
 
 from __future__ import annotations
 
+_WS = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+_W = r"[\p{L}\p{N}_]"
+
+
+def _all(text: str, pattern: str, to: str) -> str:
+    return f"regexp_replace({text}, '{pattern}', '{to}', 'g')"
+
+
+def _strip(x: str) -> str:
+    return _all(x, f"^{_WS}+|{_WS}+$", "")
+
+
+def _collapse(x: str) -> str:
+    return _all(x, f"{_WS}+", " ")
+
+
+def _no_digits(x: str) -> str:
+    return _all(x, rf"{_W}*\p{{Nd}}{_W}*", "")
+
+
+def _no_punct(x: str, to: str = "") -> str:
+    return _all(x, r"[!-/:-@\[-`{-~]", to)
+
+
+def _clean(x: str) -> str:
+    one = _no_punct(_strip(f"regexp_replace({_no_digits(x)}, '\\n+', chr(10), 'g')"))
+    single = rf"(^|[^\p{{L}}\p{{N}}_])[a-zA-Z]([^\p{{L}}\p{{N}}_]|$)"
+    return _collapse(_all(_all(one, single, r"\1\2"), single, r"\1\2"))
+
+
+def _tokens(x: str) -> str:
+    return rf"regexp_extract_all({x}, '[!-/:-@\[-`{{-~]|[^!-/:-@\[-`{{-~\s\x0B\x1C-\x1F\x{{85}}\p{{Z}}]+')"
+
+
+def _newlines(x: str) -> str:
+    return f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')"
+
+
+def _sentences(x: str) -> str:
+    return f"list_transform(string_split(replace({_newlines(x)}, chr(10), chr(10) || ' '), '. '), lambda s: {_strip('s')})"
+
+
+def _paragraphs(x: str) -> str:
+    return f"string_split({_newlines(x)}, chr(10) || chr(10))"
+
+
+def _unquote(x: str) -> str:
+    s = _strip(x)
+    return f"""(CASE WHEN length({s}) >= 2 AND {s} LIKE '"%' AND {s} LIKE '%"' THEN substring({s}, 2, length({s}) - 2) ELSE {s} END)"""
+
+
+def _expand(x: str) -> str:
+    return f"replace(replace(replace({x}, '=FEW=', '.{{1,32}}'), '=SOME=', '.{{1,60}}'), '=ANY=', '.{{1,60}}')"
+
+
+def _erase(x: str) -> str:
+    return _all(x, "=FEW=|=SOME=|=ANY=", "")
+
+
+_KINDS = (("group", "(.{1,32} (AND|OR)){1,4}"), ("few", "=FEW="), ("few", ".{1,32}"), ("some", "=SOME="), ("any", "=ANY="), ("some", ".{1,60}"))
+
+
+def _case(x: str, then, other: str) -> str:
+    return "(CASE " + " ".join(f"WHEN contains({x}, '{m}') THEN {then(k, m)}" for k, m in _KINDS) + f" ELSE {other} END)"
+
+
+def _exploded(table: str, key: str, text: str, column: str, split: str) -> str:
+    return f"SELECT {key}, (i - 1)::INT AS pos, l[i] AS {column} FROM (SELECT {key}, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT {key}, {split} AS l FROM {table} WHERE {text} IS NOT NULL))"
+
+
+def _scan(x: str) -> str:
+    return _strip(f"lower({_collapse(_no_punct(x, ' '))})")
+
+
+def _windows(where: str = "text IS NOT NULL", units: str | None = None, sep: str = "'. '") -> str:
+    units = units or _sentences("text")
+    return f"""SELECT license, source, 'window' AS kind, (i - 1)::INT AS start_at, w::INT AS width, array_to_string(u[i:i + w - 1], {sep}) AS fragment
+FROM (SELECT *, unnest(range(1, len(u) - w + 2)) AS i FROM (SELECT license, source, u, unnest(range(1, len(u) + 1)) AS w FROM (SELECT license, source, {units} AS u FROM licenses WHERE {where})))"""
+
+
+_FRAGMENTS = _windows("text IS NOT NULL AND license IS NOT NULL") + f"""
+UNION ALL SELECT license, source, 'paragraph', (i - 1)::INT, NULL, u[i] FROM (SELECT *, unnest(range(1, len(u) + 1)) AS i FROM (SELECT license, source, {_paragraphs('text')} AS u FROM licenses WHERE text IS NOT NULL AND license IS NOT NULL))"""
+
+
+def _grams(table: str, n: int, keep: str, text: str = "text", where: str = "") -> str:
+    pad = "list_concat([" + ", ".join(["'<START>'"] * (n - 1)) + "], k)" if n > 1 else "k"
+    context = f"array_to_string(p[i:i + {n - 2}], ' ')" if n > 1 else "''"
+    return f"""SELECT {keep}, {context} AS context, p[i + {n - 1}] AS token FROM (
+SELECT *, unnest(range(1, len(p) - {n} + 2)) AS i FROM (SELECT {keep}, {pad} AS p FROM (
+SELECT {keep}, {_tokens('s')} AS k FROM (SELECT {keep}, unnest(list_transform(string_split({text}, '.'), lambda x: x || '.')) AS s FROM {table} WHERE {text} IS NOT NULL {where})) WHERE len(k) > 0))"""
+
+
+def _counts(table: str, n: int, label: str, text: str = "text") -> str:
+    return f"SELECT {label}, {n} AS n, context, token, count(*) AS cnt FROM ({_grams(table, n, label, text)}) GROUP BY ALL"
+
+
+def _model(table: str, n: int, label: str, text: str = "text") -> str:
+    return f"""SELECT *, cum::DOUBLE / ctx_cnt AS cdf, cnt::DOUBLE / ctx_cnt AS prob FROM (
+SELECT *, (sum(cnt) OVER (PARTITION BY {label}, n, context ORDER BY token ROWS UNBOUNDED PRECEDING))::BIGINT AS cum, (sum(cnt) OVER (PARTITION BY {label}, n, context))::BIGINT AS ctx_cnt FROM ({_counts(table, n, label, text)}))"""
+
+
+_MARKS = r"!@#$%^&*()[]{};:,./<>?\|`~-=_+"
+
+
+def _chain(x: str) -> str:
+    return f"lower(translate({x}, '{_MARKS}', ''))"
+
+
+def _transitions(table: str, label: str) -> str:
+    return f"""SELECT {label}, {_chain(_no_digits('w[i]'))} AS w1, {_chain('w[i + 1]')} AS w2, count(*) AS cnt
+FROM (SELECT *, unnest(range(1, len(w))) AS i FROM (SELECT {label}, string_split(text, ' ') AS w FROM {table} WHERE text IS NOT NULL)) GROUP BY ALL"""
+
+
+def _draw(key: str) -> str:
+    return f"(('0x' || substring(md5({key}), 1, 8))::BIGINT::DOUBLE / 4294967296.0)"
+
+
+def _generated(n: int) -> str:
+    fresh = " ".join(["<START>"] * (n - 1))
+    pushed = f"array_to_string(list_concat(string_split(w.context, ' ')[2:], [m.token]), ' ')"
+    return f"""walk{n} AS (
+  SELECT source, seed, '{fresh}' AS context, '' AS phrase, 0 AS step FROM seeds
+  UNION ALL
+  SELECT w.source, w.seed, CASE WHEN m.token = '.' THEN '{fresh}' ELSE {pushed} END,
+    CASE WHEN w.phrase = '' THEN m.token ELSE w.phrase || ' ' || m.token END, w.step + 1
+  FROM walk{n} w JOIN model{n} m ON m.source = w.source AND m.context = w.context
+    AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.ctx_cnt) >= m.cum - m.cnt AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.ctx_cnt) < m.cum
+  WHERE w.step < 12)"""
+
+
+def _walks(*orders: int) -> str:
+    models = ", ".join(f"model{n} AS MATERIALIZED ({_model('licenses', n, 'source')})" for n in orders)
+    return f"WITH RECURSIVE seeds AS (SELECT source, unnest(range(1, 21)) AS seed FROM (SELECT DISTINCT source FROM licenses WHERE source IS NOT NULL)), {models}, " + ", ".join(map(_generated, orders))
+
+
+_CHAIN_WALK = f"""WITH RECURSIVE seeds AS (SELECT source, unnest(range(1, 21)) AS seed FROM (SELECT DISTINCT source FROM licenses WHERE source IS NOT NULL)),
+chain AS MATERIALIZED (SELECT *, (sum(cnt) OVER (PARTITION BY source, w1 ORDER BY w2 ROWS UNBOUNDED PRECEDING))::BIGINT AS c, (sum(cnt) OVER (PARTITION BY source, w1))::BIGINT AS every FROM ({_transitions('licenses', 'source')})),
+heads AS (SELECT source, w1, cnt, (sum(cnt) OVER (PARTITION BY source ORDER BY w1 ROWS UNBOUNDED PRECEDING))::BIGINT AS c, (sum(cnt) OVER (PARTITION BY source))::BIGINT AS every FROM (SELECT source, w1, sum(cnt)::BIGINT AS cnt FROM chain GROUP BY ALL)),
+walk AS (
+  SELECT s.source, s.seed, h.w1 AS word, h.w1 AS phrase, 0 AS step FROM seeds s JOIN heads h ON h.source = s.source
+    AND floor({_draw("s.source || '|' || s.seed || '|first'")} * h.every) >= h.c - h.cnt AND floor({_draw("s.source || '|' || s.seed || '|first'")} * h.every) < h.c
+  UNION ALL
+  SELECT w.source, w.seed, coalesce(m.w2, w.word), CASE WHEN m.w2 IS NULL THEN w.phrase ELSE w.phrase || ' ' || m.w2 END, w.step + 1
+  FROM walk w LEFT JOIN chain m ON m.source = w.source AND m.w1 = w.word
+    AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.every) >= m.c - m.cnt AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.every) < m.c
+  WHERE w.step < 12)
+SELECT source, seed::INT AS seed, phrase FROM walk WHERE step = 12"""
+
+_MARK_OF = _case("rx", lambda k, m: f"'{m}'", "NULL")
+_PARTS = f"""SELECT regex_id, CASE WHEN mark IS NULL THEN rx ELSE substring(rx, 1, instr(rx, mark) - 1) END AS prefix,
+CASE WHEN rx IS NULL THEN NULL WHEN mark IS NULL THEN '' ELSE substring(rx, instr(rx, mark) + length(mark)) END AS suffix
+FROM (SELECT *, {_MARK_OF} AS mark FROM (SELECT regex_id, {_unquote('regex')} AS rx FROM spdxregex))"""
+
+_EXPANSIONS = f"(SELECT DISTINCT licenses AS label, {_erase(_unquote('regex'))} AS expansion FROM spdxregex WHERE licenses IS NOT NULL AND {_erase(_unquote('regex'))} <> '')"
+
 P2_FOUND = r"""
 SELECT DISTINCT CAST(json_extract(line, '$.file_id') AS BIGINT) AS file_id
 FROM (SELECT regexp_replace(unnest(string_split(payload, chr(10))), '\r$', '') AS line FROM landed_files WHERE payload IS NOT NULL)
@@ -11,4 +166,74 @@ WHERE trim(line) <> '' AND json_valid(line) AND json_extract(line, '$.file_id')
 
 def oracle_sql() -> dict[str, str]:
     """SQL by query."""
-    return {"p2_found": P2_FOUND}
+    lines = f"string_split({_newlines('text')}, chr(10))"
+    times = f"(SELECT regex_id, 1 + floor({_draw('k')} * 4)::INT AS t, prefix AS p, suffix AS s FROM (SELECT *, regex_id || '|times' AS k FROM ({_PARTS}) WHERE prefix || suffix <> '' OR TRUE))"
+    return {
+        "p2_found": P2_FOUND,
+        "clean_text": f"SELECT doc_id, {_clean('text')} AS cleaned FROM documents",
+        "para_join": f"SELECT doc_id, array_to_string({_paragraphs('text')}, '. ') AS joined FROM documents",
+        "blank_lines": f"SELECT doc_id, (len(list_filter({lines}, lambda x: regexp_full_match(x, '{_WS}*'))) - CASE WHEN {lines}[-1] = '' THEN 1 ELSE 0 END + 1)::INT AS blank_lines FROM documents",
+        "ws_count": f"SELECT doc_id, (len(regexp_extract_all(text, '{_WS}')) + 1)::INT AS ws_count FROM documents",
+        "scan_text": f"SELECT doc_id, {_scan('text')} AS scanned FROM documents",
+        "drop_digit_words": f"SELECT doc_id, {_no_digits('text')} AS kept FROM documents",
+        "collapse_blanks": f"SELECT doc_id, {_strip(_collapse('text'))} AS collapsed FROM documents",
+        "normalize_license_id": "SELECT file_id, regexp_replace(dirname, '[-.+]', '_', 'g') AS label_key, split_part(dirname, '-', 1) AS prefix FROM split_db_foss_licenses",
+        "macro_expand": f"SELECT regex_id, {_expand(_unquote('regex'))} AS expanded FROM spdxregex",
+        "macro_erase": f"SELECT regex_id, {_erase(_unquote('regex'))} AS erased FROM spdxregex",
+        "wildcard_class": "SELECT regex_id, CASE WHEN regex IS NOT NULL THEN " + _case("regex", lambda k, m: f"'{k}'", "'none'") + " END AS kind, (CASE WHEN regex IS NOT NULL THEN " + _case("regex", lambda k, m: f"(length(regex) - length(replace(regex, '{m}', ''))) // {len(m)}", "0") + " END)::INT AS marks FROM spdxregex",
+        "regex_parts": _PARTS,
+        "path_label": "SELECT file_path, string_split(file_path, '/')[-2] AS label, lower(file_path) LIKE '%.txt' AS is_txt FROM landed_files",
+        "src_url_rewrite": "SELECT file_id, 'https://base.example/' || filename AS url FROM split_db_foss_licenses",
+        "tokenize": _exploded("documents", "doc_id", "text", "token", _tokens("text")),
+        "sentence_split": _exploded("documents", "doc_id", "text", "sentence", _sentences("text")),
+        "train_sentences": _exploded("documents", "doc_id", "text", "sentence", "list_transform(string_split(text, '.'), lambda s: s || '.')"),
+        "paragraph_split": _exploded("documents", "doc_id", "text", "paragraph", _paragraphs("text")),
+        "markov_words": _exploded("documents", "doc_id", "text", "word", f"list_transform(string_split(text, ' '), lambda w: {_chain('w')})"),
+        "token_freq": f"SELECT token, count(*) AS cnt FROM (SELECT unnest({_tokens('text')}) AS token FROM documents WHERE text IS NOT NULL) GROUP BY token",
+        "filter_nonempty": f"SELECT file_id, length(content)::INT AS n_chars FROM split_db_foss_licenses WHERE {_strip('content')} <> ''",
+        "sliding_windows": f"SELECT license, source, width, start_at, fragment FROM ({_windows()})",
+        "paragraph_windows": f"SELECT license, source, width, start_at, fragment FROM ({_windows(units=_paragraphs('text'), sep='chr(10) || chr(10)')})",
+        "cumulative_splits": f"""SELECT file_id, pos::INT AS pos, {_strip(_collapse("array_to_string(list_transform(o[1:pos], lambda k: u[k + 1]), ' ')"))} AS fragment
+FROM (SELECT *, unnest(range(1, len(o) + 1)) AS pos FROM (SELECT file_id, u, flatten(list_transform(range(1, len(u)), lambda c: range(0, len(u) - c + 1, c)))[1:1001] AS o
+FROM (SELECT file_id, {_sentences('content')} AS u FROM split_db_foss_licenses WHERE content IS NOT NULL) WHERE len(u) >= 2))""",
+        "fragments_all": _FRAGMENTS,
+        "fragment_distinct": f"SELECT DISTINCT license, fragment FROM ({_FRAGMENTS})",
+        "fragment_numbering": f"""SELECT license, fragment, seq::INT AS seq, license || '-' || seq || '.txt' AS name FROM (
+SELECT license, fragment, row_number() OVER (PARTITION BY license ORDER BY kind, width, start_at, fragment) AS seq FROM (
+SELECT license, fragment, min(kind) AS kind, min(coalesce(width, 0)) AS width, min(start_at) AS start_at FROM ({_FRAGMENTS}) GROUP BY ALL))""",
+        "next_numbers": "SELECT dirname, (max(seq) + 1)::INT AS next_seq FROM split_db_foss_licenses GROUP BY dirname",
+        "ngram_extract": _grams("licenses", 3, "license, source"),
+        "ngram_counts": " UNION ALL ".join(_counts("licenses", n, "source") for n in range(1, 8)),
+        "ngram_context": f"SELECT source, n, context, count(*) AS tokens, sum(cnt)::BIGINT AS ctx_cnt, min(token) AS first_token, max(token) AS last_token FROM ({_counts('documents', 2, 'source')}) GROUP BY ALL",
+        "ngram_prob": f"SELECT source, context, token, cnt, ctx_cnt, prob FROM ({_model('documents', 2, 'source')})",
+        "ngram_cdf": f"SELECT source, context, token, cnt, prob, cdf FROM ({_model('documents', 2, 'source')})",
+        "ngram_prob_lookup": f"""WITH m AS ({_model("(SELECT 'all' AS lab, text FROM licenses)", 2, 'lab')}),
+asked AS (SELECT DISTINCT context, token FROM ({_grams("(SELECT 'all' AS lab, content FROM ngramfiles)", 2, 'lab', 'content')}))
+SELECT context, token, coalesce(prob, 0.0) AS prob FROM asked LEFT JOIN m USING (context, token)""",
+        "markov_transitions": _transitions("documents", "source"),
+        "ngram_generate": _walks(2) + " SELECT source, seed::INT AS seed, phrase FROM walk2 WHERE step = 12",
+        "markov_generate": _CHAIN_WALK,
+        "phrase_pool": _walks(2, 3) + f" SELECT DISTINCT source, phrase FROM (SELECT source, lower({_clean('phrase')}) AS phrase FROM (SELECT source, phrase FROM walk2 WHERE step = 12 UNION ALL SELECT source, phrase FROM walk3 WHERE step = 12)) WHERE phrase <> ''",
+        "assemble_expansions": f"""SELECT regex_id, {_erase("p || ' ' || repeat('some phrase (and|or) ', t) || ' ' || s")} AS ngram_style, {_erase("p || repeat('some phrase ', t) || s")} AS chain_style
+FROM {times} JOIN (SELECT regex_id FROM spdxregex WHERE {_strip('regex')} <> '') USING (regex_id)""",
+        "lookup_exact": """SELECT file_id, coalesce(r.regex, '') AS regex FROM split_db_foss_licenses f LEFT JOIN (
+SELECT licenses, arg_min(coalesce(regex, ''), regex_id) AS regex FROM spdxregex WHERE licenses IS NOT NULL GROUP BY licenses) r ON r.licenses = f.dirname""",
+        "lookup_contains": "SELECT key, regex_id FROM (SELECT DISTINCT license AS key FROM licenses WHERE license <> '') JOIN spdxregex ON regexp_matches(licenses, key)",
+        "lookup_prefix": "SELECT key, regex_id FROM (SELECT DISTINCT split_part(dirname, '-', 1) AS key FROM split_db_foss_licenses) JOIN spdxregex ON key <> '' AND contains(licenses, key)",
+        "vocab_join": "SELECT f.file_id, l.source, length(l.text)::INT AS vocab_chars FROM split_db_foss_licenses f JOIN licenses l ON l.license = f.dirname WHERE l.text <> ''",
+        "sig_parse": f"""SELECT regex_id, '_SPDX_' || regexp_replace(licenses, '[-.+]', '_', 'g') AS entry_id, 'SPDX' AS family, regexp_replace(licenses, '[-.+]', '_', 'g') AS license,
+CASE WHEN nocheck THEN NULL ELSE 'terms' END AS key_regex, {_unquote("coalesce(regex, '')")} AS str_regex, coalesce(nocheck, FALSE) AS nocheck, licenses AS aliases FROM spdxregex WHERE licenses IS NOT NULL""",
+        "sig_scan": f"""SELECT DISTINCT file_id, regex_id FROM (SELECT file_id, {_scan('content')} AS t FROM (SELECT file_id, content FROM split_db_foss_licenses UNION ALL SELECT file_id, content FROM ngramfiles) WHERE content IS NOT NULL)
+JOIN (SELECT regex_id, {_strip(_collapse(_all(_expand(_unquote('regex')), r'([\p{L}])-([\p{L}])', r'\1 \2')))} AS rx FROM spdxregex) ON rx <> '' AND regexp_matches(t, '(?i)' || rx)""",
+        "union_regexes": f"WITH r AS (SELECT licenses, {_unquote('regex')} AS regex FROM spdxregex WHERE licenses IS NOT NULL AND trim(regex) <> '') SELECT * FROM r UNION ALL SELECT licenses, {_expand('regex')} FROM r",
+        "augment_fragment": f"SELECT file_id, content || '.' || expansion AS augmented FROM split_db_foss_licenses JOIN {_EXPANSIONS} e ON e.label = dirname WHERE content <> ''",
+        "augment_cross": f"""SELECT license, source, (i - 1)::INT AS pos, u[i] || ' ' || expansion AS augmented FROM (SELECT *, unnest(range(1, len(u) + 1)) AS i FROM (
+SELECT license, source, {_paragraphs('text')} AS u FROM licenses WHERE text IS NOT NULL AND license IS NOT NULL)) JOIN {_EXPANSIONS} e ON e.label = license""",
+        "label_counts": "SELECT dirname, count(*) AS count FROM split_db_foss_licenses GROUP BY dirname",
+        "label_collisions": "SELECT content, count(DISTINCT dirname) AS labels, count(*) AS rows FROM split_db_foss_licenses WHERE content IS NOT NULL GROUP BY content HAVING count(DISTINCT dirname) > 1",
+        "chunk_assign": "SELECT doc_id, rn, ((rn * 6) // n)::INT AS chunk FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS rn, count(*) OVER () AS n FROM documents)",
+        "thirds_assign": "SELECT doc_id, rn, CASE WHEN rn < n // 3 THEN 0 WHEN rn < 2 * n // 3 THEN 1 ELSE 2 END AS part FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS rn, count(*) OVER () AS n FROM documents)",
+        "first_fragments": "SELECT dirname, seq, file_id FROM split_db_foss_licenses QUALIFY row_number() OVER (PARTITION BY dirname ORDER BY seq, file_id) <= 100",
+        "json_field": "SELECT event_id, json_extract_string(props, '$.k') AS k, len(json_keys(props))::INT AS keys FROM events",
+        "sink_by_license": "SELECT license, count(*) AS texts, sum(length(text))::BIGINT AS chars FROM licenses WHERE license IS NOT NULL AND text IS NOT NULL GROUP BY license",
+    }

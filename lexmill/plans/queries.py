@@ -5,21 +5,365 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexmill.runtime import read_table
-from lexmill.sources import compaction
+from lexmill.functions import sampling
+from lexmill.functions import text as T
+from lexmill.functions.escapes import decode_escapes as decoded
+from lexmill.operators import fragments as fr
+from lexmill.operators import generate as gen
+from lexmill.operators import labels as lab
+from lexmill.operators import models, signatures
+from lexmill.runtime import materialize, new_path, read_table
+from lexmill.sources import catalogs, compaction
 
+Query = Callable[[SparkSession, str], DataFrame]
+_ALL: dict[str, Query] = {}
 
-def p2_found(spark: SparkSession, d: str) -> DataFrame:
+
+def query(f: Query) -> Query:
+    """Register a query under its name."""
+    _ALL[f.__name__] = f
+    return f
+
+
+def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: read_table(spark, d, name)
+
+
+docs, files, licenses, rules, landed, generated = map(_table, ("documents", "split_db_foss_licenses", "licenses", "spdxregex", "landed_files", "ngramfiles"))
+
+
+@query
+def p2_found(spark, d):
     """Records read back from the consolidated files."""
-    return compaction.consolidated_records(read_table(spark, d, "landed_files")).select("file_id")
+    return compaction.consolidated_records(landed(spark, d)).select("file_id")
 
 
-def p2_validation(spark: SparkSession, d: str) -> DataFrame:
+@query
+def p2_validation(spark, d):
     """Records, bytes and checksum of the consolidated files, and whether they match what was written."""
-    return compaction.consolidate(read_table(spark, d, "landed_files"))[1]
+    return compaction.consolidate(landed(spark, d))[1]
+
+
+def _scalar(name: str, table, key: str, text: str, **columns) -> None:
+    """A query of one scan: the key and some expressions of the text column."""
+
+    def run(spark, d):
+        return table(spark, d).select(key, *(f(F.col(text)).alias(c) for c, f in columns.items()))
+
+    run.__name__ = name
+    query(run)
+
+
+_scalar("clean_text", docs, "doc_id", "text", cleaned=T.clean_text)
+_scalar("para_join", docs, "doc_id", "text", joined=T.joined_paragraphs)
+_scalar("blank_lines", docs, "doc_id", "text", blank_lines=T.blank_lines)
+_scalar("ws_count", docs, "doc_id", "text", ws_count=T.blank_characters)
+_scalar("scan_text", docs, "doc_id", "text", scanned=T.for_scan)
+_scalar("drop_digit_words", docs, "doc_id", "text", kept=T.drop_digit_words)
+_scalar("collapse_blanks", docs, "doc_id", "text", collapsed=lambda c: T.strip(T.collapse(c)))
+_scalar("normalize_license_id", files, "file_id", "dirname", label_key=T.normal_label, prefix=T.label_prefix)
+_scalar("decode_escapes", files, "file_id", "content", decoded=decoded)
+_scalar("macro_expand", rules, "regex_id", "regex", expanded=lambda c: T.expand_macros(T.unquote(c)))
+_scalar("macro_erase", rules, "regex_id", "regex", erased=lambda c: T.erase_macros(T.unquote(c)))
+_scalar("wildcard_class", rules, "regex_id", "regex", kind=T.wildcard_kind, marks=T.wildcard_count)
+_scalar("regex_parts", rules, "regex_id", "regex", prefix=lambda c: T.regex_prefix(T.unquote(c)), suffix=lambda c: T.regex_suffix(T.unquote(c)))
+_scalar("path_label", landed, "file_path", "file_path", label=T.label_of_path, is_txt=lambda c: F.lower(c).endswith(".txt"))
+_scalar("src_url_rewrite", files, "file_id", "filename", url=lambda c: T.absolute_url(F.concat(F.lit("./"), c), "https://base.example/"))
+
+
+def _rows(name: str, table, key: str, text: str, column: str, split) -> None:
+    """A query that makes a row of each element."""
+
+    def run(spark, d):
+        return table(spark, d).where(F.col(text).isNotNull()).select(key, F.posexplode(split(F.col(text))).alias("pos", column))
+
+    run.__name__ = name
+    query(run)
+
+
+_rows("tokenize", docs, "doc_id", "text", "token", T.tokenize)
+_rows("sentence_split", docs, "doc_id", "text", "sentence", T.sentences)
+_rows("train_sentences", docs, "doc_id", "text", "sentence", T.train_sentences)
+_rows("paragraph_split", docs, "doc_id", "text", "paragraph", T.paragraphs)
+_rows("markov_words", docs, "doc_id", "text", "word", T.chain_words)
+
+
+@query
+def token_freq(spark, d):
+    """Tokens and how often they stand in documents."""
+    return docs(spark, d).where("text IS NOT NULL").select(F.explode(T.tokenize(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("cnt"))
+
+
+@query
+def filter_nonempty(spark, d):
+    """Fragments whose content isn't empty or blank."""
+    return files(spark, d).where(T.strip(F.col("content")) != "").select("file_id", F.length("content").alias("n_chars"))
+
+
+@query
+def sliding_windows(spark, d):
+    """All windows of sentences of the licence texts."""
+    return fr.sliding_windows(licenses(spark, d)).select("license", "source", "width", "start_at", "fragment")
+
+
+@query
+def paragraph_windows(spark, d):
+    """All windows of paragraphs of the licence texts."""
+    return fr.sliding_windows(licenses(spark, d), unit="paragraph", sep="\n\n").select("license", "source", "width", "start_at", "fragment")
+
+
+@query
+def cumulative_splits(spark, d):
+    """Growing concatenations of the fragments' sentences."""
+    return fr.cumulative_splits(files(spark, d).select("file_id", "content"), "content").select("file_id", "pos", "fragment")
+
+
+def _fragments(spark, d):
+    return fr.all_fragments(licenses(spark, d).where("license IS NOT NULL"), ["license", "source"])
+
+
+@query
+def fragments_all(spark, d):
+    """Windows and paragraphs together."""
+    return _fragments(spark, d)
+
+
+@query
+def fragment_distinct(spark, d):
+    """Distinct fragments of each licence."""
+    return _fragments(spark, d).select("license", "fragment").distinct()
+
+
+@query
+def fragment_numbering(spark, d):
+    """Numbers and names of the distinct fragments of each licence."""
+    shortest = _fragments(spark, d).groupBy("license", "fragment").agg(F.min("kind").alias("kind"), F.min(F.coalesce("width", F.lit(0))).alias("width"), F.min("start_at").alias("start_at"))
+    return fr.numbered(shortest, "license", ["kind", "width", "start_at", "fragment"]).select("license", "fragment", "seq", "name")
+
+
+@query
+def next_numbers(spark, d):
+    """Where the numbering of a label goes on."""
+    return lab.next_numbers(files(spark, d).select("dirname", "seq"), "dirname")
+
+
+@query
+def ngram_extract(spark, d):
+    """Trigrams of the licence texts, with their contexts."""
+    return models.ngram_rows(licenses(spark, d), 3, "text", ["license", "source"])
+
+
+@query
+def ngram_counts(spark, d):
+    """Counts of n-grams of the orders 1 to 7 of the licence texts by source."""
+    return models.ngram_orders(licenses(spark, d), list(range(1, 8)), "source")
+
+
+def _model(spark, d, n=2):
+    return models.ngram_model(models.ngram_counts(docs(spark, d), n, "source"), "source")
+
+
+@query
+def ngram_context(spark, d):
+    """Contexts of bigrams of documents by source, and their successors."""
+    return models.context_successors(models.ngram_counts(docs(spark, d), 2, "source"), "source")
+
+
+@query
+def ngram_prob(spark, d):
+    """Conditional probabilities of bigrams of documents by source."""
+    return _model(spark, d).select("source", "context", "token", "cnt", "ctx_cnt", "prob")
+
+
+@query
+def ngram_cdf(spark, d):
+    """Cumulative distributions of bigrams of documents by source."""
+    return _model(spark, d).select("source", "context", "token", "cnt", "prob", "cdf")
+
+
+@query
+def ngram_prob_lookup(spark, d):
+    """Probability of the generated files' bigrams under the model of the licence texts; 0 where unseen."""
+    model = models.ngram_model(models.ngram_counts(licenses(spark, d).withColumn("lab", F.lit("all")), 2, "lab"), "lab")
+    asked = models.ngram_rows(generated(spark, d).withColumn("lab", F.lit("all")), 2, "content", ["lab"]).distinct().withColumn("n", F.lit(2))
+    return models.probabilities(asked, model, "lab").select("context", "token", "prob")
+
+
+@query
+def markov_transitions(spark, d):
+    """Neighbouring words of documents by source."""
+    return models.transitions(docs(spark, d), "source")
+
+
+_SEEDS, _LENGTH = 20, 12
+
+
+def _states(df: DataFrame) -> DataFrame:
+    return df.select("source").where("source IS NOT NULL").distinct().select("source", F.explode(F.sequence(F.lit(1), F.lit(_SEEDS))).alias("seed"))
+
+
+@query
+def ngram_generate(spark, d):
+    """Phrases from a bigram model of the licence texts."""
+    model = materialize(models.ngram_model(models.ngram_counts(licenses(spark, d), 2, "source"), "source"), "model")
+    return gen.generate_ngrams(model, _states(licenses(spark, d)), "source", 2, _LENGTH)
+
+
+@query
+def markov_generate(spark, d):
+    """Phrases from a chain of the licence texts' words."""
+    chain = materialize(models.transitions(licenses(spark, d), "source"), "chain")
+    return gen.generate_chain(chain, _states(licenses(spark, d)), "source", _LENGTH)
+
+
+@query
+def phrase_pool(spark, d):
+    """Distinct cleaned phrases from models of the orders 2 and 3."""
+    out = None
+    for n in (2, 3):
+        model = materialize(models.ngram_model(models.ngram_counts(licenses(spark, d), n, "source"), "source"), "model")
+        part = gen.generate_ngrams(model, _states(licenses(spark, d)), "source", n, _LENGTH)
+        out = part if out is None else out.unionByName(part)
+    return gen.phrase_pool(out, "source")
+
+
+@query
+def assemble_expansions(spark, d):
+    """Expansions: a drawn phrase between the parts of each regex."""
+    r = rules(spark, d).where(T.strip(F.col("regex")) != "").select("regex_id", T.unquote(F.col("regex")).alias("rx"))
+    parts = r.select("regex_id", T.regex_prefix(F.col("rx")).alias("p"), T.regex_suffix(F.col("rx")).alias("s"), F.col("regex_id").cast("string").alias("k"))
+    return parts.select("regex_id", gen.assemble(F.col("p"), F.lit("some phrase"), F.col("s"), F.col("k")).alias("ngram_style"), gen.assemble(F.col("p"), F.lit("some phrase"), F.col("s"), F.col("k"), "chain").alias("chain_style"))
+
+
+@query
+def lookup_exact(spark, d):
+    """The first regex of each fragment's label, empty where there is none."""
+    table = rules(spark, d).select("licenses", F.coalesce("regex", F.lit("")).alias("regex"), "regex_id")
+    return lab.lookup_exact(files(spark, d).select("file_id", "dirname"), table, "dirname", "licenses", "regex", ["regex_id"]).select("file_id", "regex")
+
+
+@query
+def lookup_contains(spark, d):
+    """Regex rows whose label holds a licence's label, read as a regex."""
+    keys = licenses(spark, d).select(F.col("license").alias("key")).where("key <> ''").distinct()
+    return lab.lookup_all(keys, rules(spark, d).select("regex_id", "licenses"), "key", "licenses", literal=False).select("key", "regex_id")
+
+
+@query
+def lookup_prefix(spark, d):
+    """Regex rows whose label holds the first part of a fragment's label."""
+    keys = files(spark, d).select(T.label_prefix(F.col("dirname")).alias("key")).where("key <> ''").distinct()
+    return lab.lookup_all(keys, rules(spark, d).select("regex_id", "licenses"), "key", "licenses").select("key", "regex_id")
+
+
+@query
+def vocab_join(spark, d):
+    """Fragments with the full text of their label."""
+    texts = licenses(spark, d).where("license IS NOT NULL AND text <> ''").select(F.col("license").alias("dirname"), "source", F.length("text").alias("vocab_chars"))
+    return files(spark, d).select("file_id", "dirname").join(texts, "dirname").select("file_id", "source", "vocab_chars")
+
+
+@query
+def sig_parse(spark, d):
+    """The regex table written as a catalogue, and parsed."""
+    r = rules(spark, d).where("licenses IS NOT NULL")
+    lines = F.array(
+        F.lit("# a comment"), F.concat(F.lit("%ENTRY% _SPDX_"), T.normal_label(F.col("licenses"))), F.when(F.col("nocheck"), F.lit("%KEY% =NULL=")).otherwise(F.lit('%KEY% "terms"')),
+        F.concat(F.lit("%STR% "), F.regexp_replace(F.coalesce("regex", F.lit('""')), "[\r\n]", " ")), F.when(F.col("nocheck"), F.lit("%NOCHECK%")).otherwise(F.lit("")), F.concat(F.lit("%ALIAS% "), F.col("licenses")),
+    )
+    text = r.select(F.col("regex_id").alias("doc"), F.posexplode(lines).alias("line", "value"))
+    parsed = signatures.parse_catalogue(text)
+    return parsed.select(F.col("doc").alias("regex_id"), "entry_id", "family", "license", "key_regex", "str_regex", "nocheck", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query
+def sig_scan(spark, d):
+    """Which signatures match which fragments and generated files."""
+    r = rules(spark, d).where(T.strip(F.col("regex")) != "").select("regex_id", signatures.scan_form(F.col("regex")).alias("regex")).where("regex <> ''")
+    texts = files(spark, d).select("file_id", "content").unionByName(generated(spark, d).select("file_id", "content"))
+    return signatures.scan(texts, r, "file_id", "content", "regex_id", "regex")
+
+
+@query
+def union_regexes(spark, d):
+    """Regexes as they are and with their macros expanded, by label."""
+    r = rules(spark, d).where("licenses IS NOT NULL AND regex IS NOT NULL AND trim(regex) <> ''").select("licenses", T.unquote(F.col("regex")).alias("regex"))
+    return r.unionByName(r.select("licenses", T.expand_macros(F.col("regex")).alias("regex")))
+
+
+def _expansions(spark, d, label):
+    r = rules(spark, d).where("licenses IS NOT NULL").select(F.col("licenses").alias(label), T.erase_macros(T.unquote(F.col("regex"))).alias("expansion"))
+    return r.where("expansion <> ''").distinct()
+
+
+@query
+def augment_fragment(spark, d):
+    """Fragments with each expansion of their label appended."""
+    base = files(spark, d).where("content <> ''").select("file_id", "dirname", "content")
+    return gen.augment(base, _expansions(spark, d, "dirname"), "dirname", "content").select("file_id", "augmented")
+
+
+@query
+def augment_cross(spark, d):
+    """Paragraphs of the licence texts with each expansion of their licence."""
+    pieces = fr.paragraph_rows(licenses(spark, d).select("license", "source", "text").where("license IS NOT NULL"))
+    return gen.augment(pieces, _expansions(spark, d, "license"), "license", "fragment", " ").select("license", "source", "pos", "augmented")
+
+
+@query
+def regex_sample(spark, d):
+    """Up to eleven strings that each regex matches."""
+    r = rules(spark, d).where("regex IS NOT NULL").select("regex_id", T.expand_macros(T.unquote(F.col("regex"))).alias("regex"))
+    return sampling.sample_regexes(r, "regex").select("regex_id", "rank", "expansion")
+
+
+@query
+def label_counts(spark, d):
+    """Files by label."""
+    return lab.label_counts(files(spark, d), "dirname")
+
+
+@query
+def label_collisions(spark, d):
+    """Contents under several labels."""
+    return lab.label_collisions(files(spark, d), "dirname", "content").select(F.col("content"), "labels", "rows")
+
+
+@query
+def chunk_assign(spark, d):
+    """Even chunks of the documents by id."""
+    return lab.chunk_assign(docs(spark, d).select("doc_id"), ["doc_id"], 6)
+
+
+@query
+def thirds_assign(spark, d):
+    """Thirds of the documents by id."""
+    return lab.thirds_assign(docs(spark, d).select("doc_id"), ["doc_id"])
+
+
+@query
+def first_fragments(spark, d):
+    """The first hundred fragments of each label by number (the operator's limit)."""
+    return lab.first_rows(files(spark, d).select("dirname", "seq", "file_id"), ["dirname"], ["seq", "file_id"], 100)
+
+
+@query
+def json_field(spark, d):
+    """Fields of the events' JSON column."""
+    e = read_table(spark, d, "events")
+    return e.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.size(F.json_object_keys("props")).alias("keys"))
+
+
+@query
+def sink_by_license(spark, d):
+    """Texts written below one folder a licence, read back and counted."""
+    path = new_path(spark, "by-license")
+    catalogs.write_by_license(licenses(spark, d).where("license IS NOT NULL AND text IS NOT NULL").select("license", "text"), path)
+    return spark.read.schema("text STRING, license STRING").parquet(path).groupBy("license").agg(F.count("*").alias("texts"), F.sum(F.length("text")).alias("chars"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries() -> dict[str, Query]:
     """All queries of the core by name."""
-    return {f.__name__: f for f in (p2_found, p2_validation)}
+    return dict(_ALL)
