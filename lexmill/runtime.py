@@ -43,11 +43,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage is cut, and a lost executor costs nothing."""
+def materialize(df: DataFrame, label: str = "table", compact: bool = True) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: the lineage is cut, and a lost executor costs nothing.
+
+    With ``compact=False`` neither compression nor dictionaries are used, so that the files' size, by which a join
+    decides on a broadcast, says how large the rows are in memory.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    plain = {"compression": "uncompressed", "parquet.enable.dictionary": "false"}
+    df.write.options(**({"compression": "zstd"} if compact else plain)).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lexmill_path = path
     return out
