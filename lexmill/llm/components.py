@@ -24,7 +24,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", seed: int =
     """
     ends = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     vertices = ends.select(F.explode(F.array("u", "v")).alias("vertex")).distinct()
-    live = materialize(ends.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
+    live = materialize(ends.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges", compact=False)
     rounds: list[tuple[DataFrame, DataFrame]] = []
     turn = 0
     while not live.isEmpty():
@@ -35,7 +35,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", seed: int =
         moved = live.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("ua", "u").alias("u"), F.coalesce("vb", "v").alias("v"))
         after = moved.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         rounds.append((mates, live))
-        live = materialize(after, "edges")
+        live = materialize(after, "edges", compact=False)
         turn += 1
     done: DataFrame | None = None
     for k in range(len(rounds) - 1, -1, -1):
@@ -47,10 +47,10 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", seed: int =
         first = step.join(later, "to", "left").select(F.col("u").alias("vertex"), F.coalesce("root", "to").alias("component"))
         done = first.unionByName(done)
         if k % 4 == 0:  # keeps the plan short
-            done = materialize(done, "unwound")
+            done = materialize(done, "unwound", compact=False)
     if done is None:
         return vertices.select("vertex", F.col("vertex").alias("component"))
-    done = materialize(done, "unwound")
+    done = materialize(done, "unwound", compact=False)
     for _, edges_then in rounds:
         discard(edges_then)
     return vertices.join(done, "vertex", "left").select("vertex", F.coalesce("component", "vertex").alias("component"))

@@ -81,7 +81,7 @@ def grouped_splits(
     keyed = keyed.unionByName(regexes.select(F.lit("spdxregex").alias("tab"), "row_id", p("L:", "lk").alias("vertex")))
     # Rows are counted before the join, so a label with a third of all rows is one row of it.
     weights = keyed.where("vertex IS NOT NULL").groupBy("vertex").count()
-    named = materialize(weights.join(known, "vertex").select("vertex", "component", "count"), "named")
+    named = materialize(weights.join(known, "vertex").select("vertex", "component", "count"), "named", compact=False)
     alone = F.concat(F.lit("R:"), F.substring("tab", 1, 2), F.col("row_id").cast("string"))
     sizes = named.groupBy("component").agg(F.sum("count").alias("weight"))
     sizes = sizes.unionByName(keyed.where("vertex IS NULL").select(alone.alias("component")).groupBy("component").agg(F.count("*").alias("weight")))
@@ -93,7 +93,7 @@ def grouped_splits(
     for name, share in reversed(shares[:-1]):
         split = F.when(middle < bound, name).otherwise(split)
         bound -= share
-    decided = materialize(placed.join(F.broadcast(whole)).select("component", split.alias("split")), "decided")
+    decided = materialize(placed.join(F.broadcast(whole)).select("component", split.alias("split")), "decided", compact=False)
     by_vertex = named.join(decided, "component").select("vertex", "component", "split")
     tied = keyed.where("vertex IS NOT NULL").join(by_vertex, "vertex").select("tab", "row_id", "component", "split")
     single = keyed.where("vertex IS NULL").withColumn("component", alone).join(decided, "component").select("tab", "row_id", "component", "split")
@@ -109,7 +109,7 @@ def label_pairs(files: DataFrame, rules: DataFrame, seed: int = 17) -> DataFrame
     known = label_components(files, rules, seed)
     rows, regexes = _clean(files, rules)
     labels = rows.select("label", "lk").union(regexes.select("label", "lk")).where("label IS NOT NULL").distinct()
-    comp = materialize(labels.select("label", F.concat(F.lit("L:"), F.col("lk")).alias("vertex")).join(known, "vertex").select("label", "component"), "labels")
+    comp = materialize(labels.select("label", F.concat(F.lit("L:"), F.col("lk")).alias("vertex")).join(known, "vertex").select("label", "component"), "labels", compact=False)
     salts = 32
     a = comp.select(F.col("label").alias("label_a"), "component", F.pmod(F.xxhash64("label"), F.lit(salts)).alias("salt"))
     b = comp.select(F.col("label").alias("label_b"), "component", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"))
