@@ -175,8 +175,11 @@ OPERATIONS = (
 )
 
 
+_SHOUTED = regex.compile(r"[А-ЯЁ]{3,}")
+
+
 def _priority(text: str) -> float:
-    return cost(text) + 0.01 * len(_NONASCII.findall(text)) + 0.02 * len(_ESCAPE.findall(text))
+    return cost(text) + 0.3 * len(_SHOUTED.findall(text)) + 0.01 * len(_NONASCII.findall(text)) + 0.02 * len(_ESCAPE.findall(text))
 
 
 def restore(text: str, depth: int = 5, most_states: int = 200) -> tuple[str, float, float, list[str]]:
