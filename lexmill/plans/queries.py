@@ -14,7 +14,7 @@ from lexmill.operators import fragments as fr
 from lexmill.operators import generate as gen
 from lexmill.operators import labels as lab
 from lexmill.operators import models, signatures
-from lexmill.runtime import materialize, new_path, read_table
+from lexmill.runtime import materialize, new_path, read_table, spread
 from lexmill.sources import catalogs, compaction
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, d: read_table(spark, d, name)
 
 
+def wide(table: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The table spread over all cores, for costly work on each row."""
+    return lambda spark, d: spread(table(spark, d))
+
+
 docs, files, licenses, rules, landed, generated = map(_table, ("documents", "split_db_foss_licenses", "licenses", "spdxregex", "landed_files", "ngramfiles"))
 
 
@@ -56,15 +61,15 @@ def _scalar(name: str, table, key: str, text: str, **columns) -> None:
     query(run)
 
 
-_scalar("clean_text", docs, "doc_id", "text", cleaned=T.clean_text)
+_scalar("clean_text", wide(docs), "doc_id", "text", cleaned=T.clean_text)
 _scalar("para_join", docs, "doc_id", "text", joined=T.joined_paragraphs)
 _scalar("blank_lines", docs, "doc_id", "text", blank_lines=T.blank_lines)
 _scalar("ws_count", docs, "doc_id", "text", ws_count=T.blank_characters)
-_scalar("scan_text", docs, "doc_id", "text", scanned=T.for_scan)
-_scalar("drop_digit_words", docs, "doc_id", "text", kept=T.drop_digit_words)
-_scalar("collapse_blanks", docs, "doc_id", "text", collapsed=lambda c: T.strip(T.collapse(c)))
+_scalar("scan_text", wide(docs), "doc_id", "text", scanned=T.for_scan)
+_scalar("drop_digit_words", wide(docs), "doc_id", "text", kept=T.drop_digit_words)
+_scalar("collapse_blanks", wide(docs), "doc_id", "text", collapsed=lambda c: T.strip(T.collapse(c)))
 _scalar("normalize_license_id", files, "file_id", "dirname", label_key=T.normal_label, prefix=T.label_prefix)
-_scalar("decode_escapes", files, "file_id", "content", decoded=decoded)
+_scalar("decode_escapes", wide(files), "file_id", "content", decoded=decoded)
 _scalar("macro_expand", rules, "regex_id", "regex", expanded=lambda c: T.expand_macros(T.unquote(c)))
 _scalar("macro_erase", rules, "regex_id", "regex", erased=lambda c: T.erase_macros(T.unquote(c)))
 _scalar("wildcard_class", rules, "regex_id", "regex", kind=T.wildcard_kind, marks=T.wildcard_count)
@@ -83,17 +88,17 @@ def _rows(name: str, table, key: str, text: str, column: str, split) -> None:
     query(run)
 
 
-_rows("tokenize", docs, "doc_id", "text", "token", T.tokenize)
-_rows("sentence_split", docs, "doc_id", "text", "sentence", T.sentences)
+_rows("tokenize", wide(docs), "doc_id", "text", "token", T.tokenize)
+_rows("sentence_split", wide(docs), "doc_id", "text", "sentence", T.sentences)
 _rows("train_sentences", docs, "doc_id", "text", "sentence", T.train_sentences)
 _rows("paragraph_split", docs, "doc_id", "text", "paragraph", T.paragraphs)
-_rows("markov_words", docs, "doc_id", "text", "word", T.chain_words)
+_rows("markov_words", wide(docs), "doc_id", "text", "word", T.chain_words)
 
 
 @query
 def token_freq(spark, d):
     """Tokens and how often they stand in documents."""
-    return docs(spark, d).where("text IS NOT NULL").select(F.explode(T.tokenize(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("cnt"))
+    return wide(docs)(spark, d).where("text IS NOT NULL").select(F.explode(T.tokenize(F.col("text"))).alias("token")).groupBy("token").agg(F.count("*").alias("cnt"))
 
 
 @query
@@ -117,7 +122,7 @@ def paragraph_windows(spark, d):
 @query
 def cumulative_splits(spark, d):
     """Growing concatenations of the fragments' sentences."""
-    return fr.cumulative_splits(files(spark, d).select("file_id", "content"), "content").select("file_id", "pos", "fragment")
+    return fr.cumulative_splits(wide(files)(spark, d).select("file_id", "content"), "content").select("file_id", "pos", "fragment")
 
 
 def _fragments(spark, d):
@@ -162,13 +167,13 @@ def ngram_counts(spark, d):
 
 
 def _model(spark, d, n=2):
-    return models.ngram_model(models.ngram_counts(docs(spark, d), n, "source"), "source")
+    return models.ngram_model(models.ngram_counts(wide(docs)(spark, d), n, "source"), "source")
 
 
 @query
 def ngram_context(spark, d):
     """Contexts of bigrams of documents by source, and their successors."""
-    return models.context_successors(models.ngram_counts(docs(spark, d), 2, "source"), "source")
+    return models.context_successors(models.ngram_counts(wide(docs)(spark, d), 2, "source"), "source")
 
 
 @query
@@ -187,14 +192,14 @@ def ngram_cdf(spark, d):
 def ngram_prob_lookup(spark, d):
     """Probability of the generated files' bigrams under the model of the licence texts; 0 where unseen."""
     model = models.ngram_model(models.ngram_counts(licenses(spark, d).withColumn("lab", F.lit("all")), 2, "lab"), "lab")
-    asked = models.ngram_rows(generated(spark, d).withColumn("lab", F.lit("all")), 2, "content", ["lab"]).distinct().withColumn("n", F.lit(2))
+    asked = models.ngram_rows(wide(generated)(spark, d).withColumn("lab", F.lit("all")), 2, "content", ["lab"]).distinct().withColumn("n", F.lit(2))
     return models.probabilities(asked, model, "lab").select("context", "token", "prob")
 
 
 @query
 def markov_transitions(spark, d):
     """Neighbouring words of documents by source."""
-    return models.transitions(docs(spark, d), "source")
+    return models.transitions(wide(docs)(spark, d), "source")
 
 
 _SEEDS, _LENGTH = 20, 12
@@ -282,7 +287,7 @@ def sig_parse(spark, d):
 def sig_scan(spark, d):
     """Which signatures match which fragments and generated files."""
     r = rules(spark, d).where(T.strip(F.col("regex")) != "").select("regex_id", signatures.scan_form(F.col("regex")).alias("regex")).where("regex <> ''")
-    texts = files(spark, d).select("file_id", "content").unionByName(generated(spark, d).select("file_id", "content"))
+    texts = wide(files)(spark, d).select("file_id", "content").unionByName(wide(generated)(spark, d).select("file_id", "content"))
     return signatures.scan(texts, r, "file_id", "content", "regex_id", "regex")
 
 

@@ -58,6 +58,15 @@ def materialize(df: DataFrame, label: str = "table", compact: bool = True) -> Da
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is read in fewer partitions than that, as one small file is; else as it is.
+
+    For operators whose work on a row far outweighs moving it. Filters and column selections still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def discard(df: DataFrame | None) -> None:
     """Remove the files of a table that materialize wrote and nothing needs any more."""
     path = getattr(df, "_lexmill_path", None)
