@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import encoding, formatting, leaks, mixing, neardup, spans, splits, truncation
-from lexmill.runtime import read_table
+from lexmill.runtime import read_table, spread
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
@@ -27,22 +27,22 @@ def p1_splits(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows that hold misread text."""
-    return encoding.garbled(_files(spark, d)).select(F.col("id").alias("file_id"))
+    return encoding.garbled(spread(_files(spark, d))).select(F.col("id").alias("file_id"))
 
 
 def p3_restored(spark: SparkSession, d: str) -> DataFrame:
     """Misread rows with the restored text."""
-    return encoding.garbled(_files(spark, d)).withColumnRenamed("id", "file_id")
+    return encoding.garbled(spread(_files(spark, d))).withColumnRenamed("id", "file_id")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of records equal but for formatting."""
-    return formatting.formatting_pairs(_files(spark, d))
+    return formatting.formatting_pairs(spread(_files(spark, d)))
 
 
 def p4_copies(spark: SparkSession, d: str) -> DataFrame:
     """Distinct records and their numbers of copies."""
-    return formatting.copies_report(_files(spark, d))
+    return formatting.copies_report(spread(_files(spark, d)))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +61,7 @@ def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
-    rows = neardup.with_ngram_files(_files(spark, d), read_table(spark, d, "ngramfiles"))
+    rows = neardup.with_ngram_files(spread(_files(spark, d)), spread(read_table(spark, d, "ngramfiles")))
     return neardup.NearDuplicates(rows, words=3, similarity=0.6, min_words=20)
 
 
@@ -76,7 +76,7 @@ def p6_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+    return leaks.leaks(spread(read_table(spark, d, "documents")), read_table(spark, d, "eval_items"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +90,7 @@ def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, d: str) -> mixing.Mix:
-    return mixing.Mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
+    return mixing.Mix(spread(read_table(spark, d, "documents")), read_table(spark, d, "mix_targets"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -110,12 +110,12 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that were cut."""
-    return truncation.truncation_verdicts(read_table(spark, d, "documents")).where("cut").select("doc_id")
+    return truncation.truncation_verdicts(spread(read_table(spark, d, "documents"))).where("cut").select("doc_id")
 
 
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     """The rate of cuts for each source."""
-    return truncation.truncation_rates(read_table(spark, d, "documents"))
+    return truncation.truncation_rates(spread(read_table(spark, d, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
