@@ -59,7 +59,7 @@ def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_word
                     sketch[:, j], sketch[:, PARTS * WIDTH + j] = value & np.uint64(255), (value >> np.uint64(8)) & np.uint64(255)
                 yield pd.DataFrame({
                     "id": [i for i, _ in out], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for _, s in out], "n": [len(s) for _, s in out],
-                    "sketch": [r.tobytes() for r in sketch], "shingles": [np.unique((s >> np.uint64(32)).astype(np.uint32)).astype(np.int64).astype(np.int32) for _, s in out],
+                    "sketch": [r.tobytes() for r in sketch], "shingles": [(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for _, s in out],
                 })
 
     wanted = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
