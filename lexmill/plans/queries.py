@@ -13,8 +13,8 @@ from lexmill.functions.escapes import decode_escapes as decoded
 from lexmill.operators import fragments as fr
 from lexmill.operators import generate as gen
 from lexmill.operators import labels as lab
-from lexmill.operators import models, signatures
-from lexmill.runtime import materialize, new_path, read_table, spread
+from lexmill.operators import models, signatures, walks
+from lexmill.runtime import new_path, read_table, spread
 from lexmill.sources import catalogs, compaction
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,36 +202,22 @@ def markov_transitions(spark, d):
     return models.transitions(wide(docs)(spark, d), "source")
 
 
-_SEEDS, _LENGTH = 20, 12
-
-
-def _states(df: DataFrame) -> DataFrame:
-    return df.select("source").where("source IS NOT NULL").distinct().select("source", F.explode(F.sequence(F.lit(1), F.lit(_SEEDS))).alias("seed"))
-
-
 @query
 def ngram_generate(spark, d):
-    """Phrases from a bigram model of the licence texts."""
-    model = materialize(models.ngram_model(models.ngram_counts(licenses(spark, d), 2, "source"), "source"), "model")
-    return gen.generate_ngrams(model, _states(licenses(spark, d)), "source", 2, _LENGTH)
+    """Phrases of each licence text from its models of the orders 2 to 7, a seed for each character."""
+    return walks.walk_ngrams(wide(licenses)(spark, d), ["license", "source"])
 
 
 @query
 def markov_generate(spark, d):
-    """Phrases from a chain of the licence texts' words."""
-    chain = materialize(models.transitions(licenses(spark, d), "source"), "chain")
-    return gen.generate_chain(chain, _states(licenses(spark, d)), "source", _LENGTH)
+    """Phrases of each licence text from the chain of its words, a seed for each character."""
+    return walks.walk_chain(wide(licenses)(spark, d), ["license", "source"])
 
 
 @query
 def phrase_pool(spark, d):
-    """Distinct cleaned phrases from models of the orders 2 and 3."""
-    out = None
-    for n in (2, 3):
-        model = materialize(models.ngram_model(models.ngram_counts(licenses(spark, d), n, "source"), "source"), "model")
-        part = gen.generate_ngrams(model, _states(licenses(spark, d)), "source", n, _LENGTH)
-        out = part if out is None else out.unionByName(part)
-    return gen.phrase_pool(out, "source")
+    """Distinct cleaned phrases of each licence from models of the orders 2 to 7."""
+    return walks.phrase_pool(wide(licenses)(spark, d), ["license", "source"])
 
 
 @query
