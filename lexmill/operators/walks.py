@@ -142,7 +142,7 @@ def pool_of(texts: list[dict], lengths: tuple[int, int] = LENGTHS, orders: tuple
 
 def mapped(df: DataFrame, make: Callable[[dict], Iterator[dict[str, list]]], keep: list[str], schema: str) -> DataFrame:
     """Rows that ``make`` gives, as columns, for each row of ``df``, behind that row's columns ``keep``."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
+    kinds = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] + [schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +155,7 @@ def mapped(df: DataFrame, make: Callable[[dict], Iterator[dict[str, list]]], kee
                     rest = [x if isinstance(x, pa.Array) else pa.array(x) for x in made.values()]
                     yield pa.RecordBatch.from_arrays(fixed + rest, names=[*keep, *made])
 
-    return df.mapInArrow(run, f"{kinds}, {schema}")
+    return df.mapInArrow(run, kinds)
 
 
 def walk_ngrams(df: DataFrame, keep: list[str], text: str = "text", orders: tuple[int, ...] = ORDERS, lengths: tuple[int, int] = LENGTHS) -> DataFrame:

@@ -14,6 +14,7 @@ from lexmill.operators import fragments as fr
 from lexmill.operators import generate as gen
 from lexmill.operators import labels as lab
 from lexmill.operators import models, signatures, walks
+from lexmill.operators.expansions import expansions
 from lexmill.runtime import new_path, read_table, spread
 from lexmill.sources import catalogs, compaction
 
@@ -220,12 +221,14 @@ def phrase_pool(spark, d):
     return walks.phrase_pool(wide(licenses)(spark, d), ["license", "source"])
 
 
+def _expansions(spark, d):
+    return expansions(rules(spark, d), licenses(spark, d))
+
+
 @query
 def assemble_expansions(spark, d):
-    """Expansions: a drawn phrase between the parts of each regex."""
-    r = rules(spark, d).where(T.strip(F.col("regex")) != "").select("regex_id", T.unquote(F.col("regex")).alias("rx"))
-    parts = r.select("regex_id", T.regex_prefix(F.col("rx")).alias("p"), T.regex_suffix(F.col("rx")).alias("s"), F.col("regex_id").cast("string").alias("k"))
-    return parts.select("regex_id", gen.assemble(F.col("p"), F.lit("some phrase"), F.col("s"), F.col("k")).alias("ngram_style"), gen.assemble(F.col("p"), F.lit("some phrase"), F.col("s"), F.col("k"), "chain").alias("chain_style"))
+    """Expansions of each regex: strings sampled from it with drawn phrases of its licence between its parts."""
+    return _expansions(spark, d).select("regex_id", "algo", "rank", "expansion")
 
 
 @query
@@ -284,23 +287,18 @@ def union_regexes(spark, d):
     return r.unionByName(r.select("licenses", T.expand_macros(F.col("regex")).alias("regex")))
 
 
-def _expansions(spark, d, label):
-    r = rules(spark, d).where("licenses IS NOT NULL").select(F.col("licenses").alias(label), T.erase_macros(T.unquote(F.col("regex"))).alias("expansion"))
-    return r.where("expansion <> ''").distinct()
-
-
 @query
 def augment_fragment(spark, d):
     """Fragments with each expansion of their label appended."""
     base = files(spark, d).where("content <> ''").select("file_id", "dirname", "content")
-    return gen.augment(base, _expansions(spark, d, "dirname"), "dirname", "content").select("file_id", "augmented")
+    return gen.augment(base, _expansions(spark, d).withColumnRenamed("licenses", "dirname"), "dirname", "content").select("file_id", "augmented")
 
 
 @query
 def augment_cross(spark, d):
     """Paragraphs of the licence texts with each expansion of their licence."""
     pieces = fr.paragraph_rows(licenses(spark, d).select("license", "source", "text").where("license IS NOT NULL"))
-    return gen.augment(pieces, _expansions(spark, d, "license"), "license", "fragment", " ").select("license", "source", "pos", "augmented")
+    return gen.augment(pieces, _expansions(spark, d).withColumnRenamed("licenses", "license"), "license", "fragment", " ").select("license", "source", "pos", "augmented")
 
 
 @query
