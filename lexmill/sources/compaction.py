@@ -23,7 +23,7 @@ def complete_lines(files: DataFrame) -> DataFrame:
     """
     lines = files.select("landed_at", "file_path", F.posexplode(F.split("payload", "\n")).alias("line_no", "raw"))
     lines = lines.select("landed_at", "file_path", "line_no", F.regexp_replace("raw", "\r$", "").alias("line")).where(F.trim("line") != "")
-    # Only the end and the key are looked at here; the bytes of a record are never written anew.
+    # Each line is parsed to tell whether it is whole; the bytes of a record are never written anew.
     read = F.from_json("line", _RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     whole = lines.withColumn("_r", read).where(F.col("line").rlike(r"\}\s*$") & F.col("_r._corrupt").isNull() & F.col("_r.file_id").isNotNull())
     return whole.select(F.col("_r.file_id").alias("file_id"), "line", "landed_at", "file_path", "line_no")
