@@ -153,6 +153,12 @@ def regex_suffix(c: Column) -> Column:
     return F.when(c.isNotNull(), F.when(mark.isNull(), "").otherwise(rest))
 
 
+def regex_last_suffix(c: Column) -> Column:
+    """What stands after the last wildcard mark of the first kind; empty if there is none."""
+    mark = wildcard_mark(c)
+    return F.when(c.isNotNull(), F.when(mark.isNull(), "").otherwise(F.call_function("substring_index", c, mark, F.lit(-1))))
+
+
 def normal_label(c: Column) -> Column:
     """A licence label with each of ``-``, ``.`` and ``+`` as ``_``."""
     return F.regexp_replace(c, "[-.+]", "_")

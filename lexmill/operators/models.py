@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
@@ -33,11 +33,21 @@ def ngram_counts(df: DataFrame, n: int, label: str, text: str = "text") -> DataF
 
 
 def ngram_orders(df: DataFrame, orders: list[int], label: str, text: str = "text") -> DataFrame:
-    """The counts of several orders together."""
-    out = ngram_counts(df, orders[0], label, text)
-    for n in orders[1:]:
-        out = out.unionByName(ngram_counts(df, n, label, text))
-    return out
+    """The counts of several orders together: the texts are read and tokenised once, and one shuffle counts all orders."""
+    if min(orders) < 1:
+        raise ValueError("n is at least 1")
+    most = max(orders)
+    sents = df.where(F.col(text).isNotNull()).select(label, F.explode(T.train_sentences(F.col(text))).alias("_s"))
+    toks = sents.select(label, T.tokenize(F.col("_s")).alias("_k")).where(F.size("_k") > 0)
+    padded = toks.select(label, F.concat(F.array_repeat(F.lit(START), most - 1), F.col("_k")).alias("_p") if most > 1 else F.col("_k").alias("_p"))
+
+    def gram(i: Column, n: int) -> Column:
+        context = F.array_join(F.slice("_p", i + (most - n), F.lit(n - 1)), " ") if n > 1 else F.lit("")
+        return F.struct(F.lit(n).alias("n"), context.alias("context"), F.element_at("_p", i + (most - 1)).alias("token"))
+
+    places = F.sequence(F.lit(1), F.size("_p") - (most - 1))
+    rows = padded.select(label, F.explode(F.flatten(F.transform(places, lambda i: F.array(*(gram(i, n) for n in orders))))).alias("_g"))
+    return rows.groupBy(label, "_g.n", "_g.context", "_g.token").agg(F.count("*").alias("cnt")).select(label, "n", "context", "token", "cnt")
 
 
 def ngram_model(counts: DataFrame, label: str) -> DataFrame:
@@ -57,6 +67,15 @@ def context_successors(counts: DataFrame, label: str) -> DataFrame:
     return counts.groupBy(label, "n", "context").agg(F.count("*").alias("tokens"), F.sum("cnt").alias("ctx_cnt"), F.min("token").alias("first_token"), F.max("token").alias("last_token"))
 
 
+def successor_lists(counts: DataFrame, label: str) -> DataFrame:
+    """Contexts with all their successors in the order of their bytes, each with how often it follows: ``successors`` (array of token, cnt).
+
+    The lists hold counts in place of repeats, so that a context as frequent as a start of sentence has a row as long as its
+    vocabulary and not as its occurrences.
+    """
+    return counts.groupBy(label, "n", "context").agg(F.array_sort(F.collect_list(F.struct("token", "cnt"))).alias("successors"))
+
+
 def probabilities(asked: DataFrame, model: DataFrame, label: str) -> DataFrame:
     """Probability of each asked (label, n, context, token); 0.0 if it was never seen."""
     return asked.join(model.select(label, "n", "context", "token", "prob"), [label, "n", "context", "token"], "left").withColumn("prob", F.coalesce("prob", F.lit(0.0)))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
+from lexmill.functions.sampling import _parser
+from lexmill.runtime import materialize
 
 
 def parse_catalogue(lines: DataFrame, doc: str = "doc", line: str = "line", value: str = "value") -> DataFrame:
@@ -40,6 +42,22 @@ def parse_catalogue(lines: DataFrame, doc: str = "doc", line: str = "line", valu
     )
 
 
+def parse_definitions(lines: DataFrame, doc: str = "doc", line: str = "line", value: str = "value") -> DataFrame:
+    """Derived counts of catalogue texts: (``doc``, ``line``, ``name``, ``value``) for each ``%DEF% name value`` line; comments are none."""
+    v = T.strip(F.col(value))
+    rows = lines.where(v.rlike(r"^%DEF%\s")).select(doc, line, T.strip(F.regexp_replace(v, "^%DEF%", "")).alias("_d"))
+    return rows.select(doc, line, F.regexp_extract("_d", r"^(\S+)", 1).alias("name"), T.strip(F.regexp_replace("_d", r"^\S+", "")).alias("value"))
+
+
+#: From the first score on a text is surely a licence, below the second one it is probably none.
+SURE_SCORE, LEAST_SCORE = 9, 4
+
+
+def score_class(score: Column) -> Column:
+    """What a number of licence signs says of a text: license, unsure or none; null for a null score."""
+    return F.when(score >= SURE_SCORE, "license").when(score >= LEAST_SCORE, "unsure").when(score.isNotNull(), "none")
+
+
 #: POSIX classes and what they are in a class here; word bounds; the year word.
 POSIX = {"[:space:]": r"\s", "[:digit:]": r"\d", "[:alpha:]": r"a-zA-Z", "[:alnum:]": r"a-zA-Z0-9", "[:punct:]": r"!-/:-@\[-`{-~", "[:upper:]": "A-Z", "[:lower:]": "a-z"}
 YEAR = r"[0-9]{4}"
@@ -93,70 +111,119 @@ def scan_form(c: Column) -> Column:
     return T.strip(T.collapse(F.regexp_replace(c, r"(?<=\p{L})-(?=\p{L})", " ")))
 
 
-def _needle(pattern: str) -> str:
-    """The longest run of sure literal characters, lower-cased: a signature can't match without it."""
-    best, now, depth, k = "", "", 0, 0
-    while k <= len(pattern):
-        c = pattern[k] if k < len(pattern) else "\0"
-        plain = depth == 0 and (c.isalnum() or c == " ")
-        if plain and pattern[k + 1 : k + 2] not in ("?", "*", "{"):
-            now += c
-        else:
-            best, now = max(best, now, key=len), ""
-            if c == "\\":
-                k += 1
-            elif c in "([":
-                depth += 1
-            elif c in ")]":
-                depth = max(0, depth - 1)
-            elif c == "|" and depth == 0:
-                return ""
-        k += 1
-    return best.strip().lower()
+def needle(pattern: str) -> str:
+    """The longest run of ASCII letters, digits and blanks that every match holds as it stands, lower-cased; empty if there is none.
 
+    Read off the parsed regex: only literal characters outside alternatives, classes and repetitions count, and a part
+    that must occur at least once counts by itself.
+    """
+    best = ""
+
+    def walk(items) -> None:
+        nonlocal best
+        run = ""
+        for op, arg in [*items, (None, None)]:
+            c = chr(arg).lower() if str(op) == "LITERAL" else ""
+            if len(c) == 1 and c.isascii() and (c.isalnum() or c == " "):
+                run += c
+                continue
+            best, run = max(best, run, key=len), ""
+            if str(op) == "SUBPATTERN":
+                walk(arg[3])
+            elif str(op) in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and arg[0] >= 1:
+                walk(arg[2])
+
+    walk(_parser.parse(pattern, re.IGNORECASE))
+    return best.strip()
+
+
+def _ready(signatures: DataFrame, sig_col: str, regex_col: str, key_col: str | None) -> DataFrame:
+    """(``sig``, ``key``, ``regex``, ``needle``) of the signatures that can be read, each once."""
+    key = F.col(key_col) if key_col else F.lit(None).cast("string")
+    given = signatures.where(F.col(regex_col).isNotNull() & F.col(sig_col).isNotNull()).select(F.col(sig_col).alias("sig"), key.alias("key"), F.col(regex_col).alias("regex")).distinct()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for sig, key, pattern in zip(pdf["sig"].array, pdf["key"].array, pdf["regex"].array):
+                blank = key is None or pd.isna(key) or not str(key).strip()
+                regex, own = transpile(pattern), None if blank else transpile(key)
+                if regex is not None and (blank or own is not None):
+                    out.append((sig, own, regex, needle(regex)))
+            yield pd.DataFrame(out, columns=["sig", "key", "regex", "needle"]).astype({"key": "object"})
+
+    return given.mapInPandas(run, f"sig {given.schema['sig'].dataType.simpleString()}, key string, regex string, needle string")
+
+
+class _Block:
+    """A block of signatures, ready to be tried on texts. Regexes are compiled when they are first needed."""
+
+    def __init__(self, rows: list[tuple]) -> None:
+        import ahocorasick
+
+        self.always: list[tuple] = []
+        self.near: dict[str, list[tuple]] = {}
+        for sig, key, regex, sure in rows:
+            (self.near.setdefault(sure, []) if sure else self.always).append((sig, key, regex))
+        self.automaton = ahocorasick.Automaton()
+        for sure in self.near:
+            self.automaton.add_word(sure, sure)
+        if self.near:
+            self.automaton.make_automaton()
+        self.compiled: dict[str, re.Pattern] = {}
+
+    def _pattern(self, regex: str) -> re.Pattern:
+        if regex not in self.compiled:
+            self.compiled[regex] = re.compile(regex, re.IGNORECASE)
+        return self.compiled[regex]
+
+    def matches(self, raw: str, text: str) -> Iterator:
+        """The signatures whose KEY stands in the raw text and whose STR stands in the normalised one."""
+        # The long s matches s without regard to case, but isn't lower-cased to it.
+        sure = {n for _, n in self.automaton.iter(text.replace("\u017f", "s"))} if self.near else ()
+        keys: dict[str, bool] = {}
+        for sig, key, regex in [*self.always, *(x for n in sure for x in self.near[n])]:
+            if key is not None:
+                if key not in keys:
+                    keys[key] = self._pattern(key).search(raw) is not None
+                if not keys[key]:
+                    continue
+            if self._pattern(regex).search(text):
+                yield sig
 
-def scan(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig_col: str, regex_col: str, block_rows: int = 20_000) -> DataFrame:
+
+def scan(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig_col: str, regex_col: str, key_col: str | None = None, block_rows: int = 20_000) -> DataFrame:
     """(``id_col``, ``sig_col``): which signatures match which texts.
 
-    Every text is normalised once and run through one automaton over the signatures' surest literal words; only
-    signatures whose words occur are tried as a regex. The texts aren't shuffled; the signatures are sent in blocks of at
-    most ``block_rows``, as many passes as that takes. Null regexes and those that can't be read match nothing.
+    A signature matches if its KEY (``key_col``; none where null or blank) is found in the text as it is and its regex
+    in the normalised text. Every text is normalised once and run through one automaton over the signatures' sure
+    literals; only signatures whose literal occurs are tried, each KEY once a text, and the KEY before the regex. The texts aren't
+    shuffled. The signatures are sent in blocks of at most ``block_rows``, one after the other: a block's result is
+    written and its rows are let go before the next one is fetched. Null regexes and those that can't be read match
+    nothing; repeated signatures and texts count once an id.
     """
     spark = docs.sparkSession
-    usable = signatures.where(F.col(regex_col).isNotNull() & F.col(sig_col).isNotNull()).select(F.col(sig_col).alias("sig"), F.col(regex_col).alias("regex"))
-    blocks = max(1, math.ceil(usable.count() / block_rows))
-    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), T.for_scan(F.col(text_col)).alias("text"))
-    id_type, sig_type = texts.schema["id"].dataType.simpleString(), usable.schema["sig"].dataType.simpleString()
-    out = None
+    ready = _ready(signatures, sig_col, regex_col, key_col)
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), T.for_scan(F.col(text_col)).alias("text"))
+    kinds = f"`{id_col}` {texts.schema['id'].dataType.simpleString()}, `{sig_col}` {ready.schema['sig'].dataType.simpleString()}"
+    blocks = max(1, math.ceil(ready.count() / block_rows))
+    found: list[DataFrame] = []
     for k in range(blocks):
-        rows = [(r.sig, r.regex) for r in usable.where(F.pmod(F.xxhash64("sig"), F.lit(blocks)) == k).toLocalIterator()]
+        rows = [tuple(r) for r in ready.where(F.pmod(F.xxhash64("sig", "regex"), F.lit(blocks)) == k).collect()]  # about block_rows
         sent = spark.sparkContext.broadcast(rows)
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            import ahocorasick
-
-            automaton, by_needle, always = ahocorasick.Automaton(), {}, []
-            for sig, pattern in sent.value:
-                ready = transpile(pattern)
-                if ready is None:
-                    continue
-                compiled = re.compile(ready, re.IGNORECASE)
-                needle = _needle(ready)
-                (by_needle.setdefault(needle, []) if needle else always).append((sig, compiled))
-            for needle in by_needle:
-                automaton.add_word(needle, needle)
-            if by_needle:
-                automaton.make_automaton()
+            block = _Block(sent.value)
             for pdf in batches:
-                ids, sigs = [], []
-                for i, text in zip(pdf["id"].array, pdf["text"].array):
-                    near = {n for _, n in automaton.iter(text)} if by_needle else set()
-                    for sig, compiled in [*always, *(x for n in near for x in by_needle[n])]:
-                        if compiled.search(text):
-                            ids.append(i)
-                            sigs.append(sig)
-                yield pd.DataFrame({id_col: ids, sig_col: sigs})
-
-        part = texts.mapInPandas(run, f"`{id_col}` {id_type}, `{sig_col}` {sig_type}")
-        out = part if out is None else out.unionByName(part)
+                hits = [(i, sig) for i, raw, text in zip(pdf["id"].array, pdf["raw"].array, pdf["text"].array) for sig in block.matches(raw, text)]
+                yield pd.DataFrame({id_col: [i for i, _ in hits], sig_col: [s for _, s in hits]})
+
+        part = texts.mapInPandas(run, kinds)
+        if blocks > 1:
+            part = materialize(part, "matches")
+            sent.destroy()
+        found.append(part)
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
     return out.distinct()

@@ -152,11 +152,28 @@ SELECT source, seed::INT AS seed, phrase FROM walk WHERE step = 12"""
 
 _MARK_OF = _case("rx", lambda k, m: f"'{m}'", "NULL")
 _PARTS = f"""SELECT regex_id, CASE WHEN mark IS NULL THEN rx ELSE substring(rx, 1, instr(rx, mark) - 1) END AS prefix,
-CASE WHEN rx IS NULL THEN NULL WHEN mark IS NULL THEN '' ELSE substring(rx, instr(rx, mark) + length(mark)) END AS suffix
+CASE WHEN rx IS NULL THEN NULL WHEN mark IS NULL THEN '' ELSE substring(rx, instr(rx, mark) + length(mark)) END AS suffix,
+CASE WHEN rx IS NULL THEN NULL WHEN mark IS NULL THEN '' ELSE string_split(rx, mark)[-1] END AS last_suffix
 FROM (SELECT *, {_MARK_OF} AS mark FROM (SELECT regex_id, {_unquote('regex')} AS rx FROM spdxregex))"""
 
 _EXPANSIONS = f"(SELECT DISTINCT licenses AS label, {_erase(_unquote('regex'))} AS expansion FROM spdxregex WHERE licenses IS NOT NULL AND {_erase(_unquote('regex'))} <> '')"
 
+#: Entries of the catalogues that the queries write, straight from the table.
+_ENTRIES = f"""SELECT lower(split_part(licenses, '-', 1)) AS doc, regex_id * 20 + 2 AS line, fam || lic AS entry_id, trim(fam, '_') AS family, lic AS license,
+CASE WHEN nocheck THEN NULL ELSE 'terms' END AS key_regex, {_unquote("coalesce(regex, '')")} AS str_regex, coalesce(nocheck, FALSE) AS nocheck, regex_id % 5 = 0 AS optional_str, licenses AS aliases
+FROM (SELECT *, CASE WHEN regex_id % 2 = 0 THEN '_LT_' ELSE '_SPDX_' END AS fam, regexp_replace(licenses, '[-.+]', '_', 'g') AS lic FROM spdxregex WHERE licenses IS NOT NULL)"""
+
+_SENTENCE_SIGNATURES = f"""SELECT *, concat_ws('/', regex, key_regex) AS signature FROM (
+SELECT DISTINCT '\\<' || w[3] || ' ' || w[4] || 's?\\>' AS regex, '\\b' || w[3] || ' ' || w[4] || 's?\\b' AS own, CASE WHEN length(w[-1]) % 2 = 0 THEN '(' || w[-1] || '|=YEAR=)' END AS key_regex, w[-1] AS k
+FROM (SELECT string_split({_scan('s')}, ' ') AS w FROM (SELECT unnest({_sentences('text')}) AS s FROM licenses WHERE license IS NOT NULL AND text IS NOT NULL))
+WHERE len(w) >= 6 AND regexp_full_match(array_to_string(w[1:4], ''), '[a-z]+') AND regexp_full_match(w[-1], '[a-z]+'))"""
+
+
+def _keyed_scan(texts: str) -> str:
+    return f"""SELECT DISTINCT id, signature FROM (SELECT id, text, {_scan('text')} AS t FROM ({texts}) WHERE text IS NOT NULL)
+JOIN ({_SENTENCE_SIGNATURES}) ON regexp_matches(t, own) AND (key_regex IS NULL OR regexp_matches(text, '(?i)(' || k || '|[0-9]{{4}})'))"""
+
+
 P2_FOUND = r"""
 SELECT DISTINCT CAST(json_extract(line, '$.file_id') AS BIGINT) AS file_id
 FROM (SELECT regexp_replace(unnest(string_split(payload, chr(10))), '\r$', '') AS line FROM landed_files WHERE payload IS NOT NULL)
@@ -205,6 +222,7 @@ SELECT license, fragment, min(kind) AS kind, min(coalesce(width, 0)) AS width, m
         "ngram_extract": _grams("licenses", 3, "license, source"),
         "ngram_counts": " UNION ALL ".join(_counts("licenses", n, "source") for n in range(1, 8)),
         "ngram_context": f"SELECT source, n, context, count(*) AS tokens, sum(cnt)::BIGINT AS ctx_cnt, min(token) AS first_token, max(token) AS last_token FROM ({_counts('documents', 2, 'source')}) GROUP BY ALL",
+        "ngram_successors": f"SELECT source, context, string_agg(token || '=' || cnt, ' ' ORDER BY token) AS successors FROM ({_counts('documents', 2, 'source')}) GROUP BY ALL",
         "ngram_prob": f"SELECT source, context, token, cnt, ctx_cnt, prob FROM ({_model('documents', 2, 'source')})",
         "ngram_cdf": f"SELECT source, context, token, cnt, prob, cdf FROM ({_model('documents', 2, 'source')})",
         "ngram_prob_lookup": f"""WITH m AS ({_model("(SELECT 'all' AS lab, text FROM licenses)", 2, 'lab')}),
@@ -223,6 +241,12 @@ SELECT licenses, arg_min(coalesce(regex, ''), regex_id) AS regex FROM spdxregex
         "vocab_join": "SELECT f.file_id, l.source, length(l.text)::INT AS vocab_chars FROM split_db_foss_licenses f JOIN licenses l ON l.license = f.dirname WHERE l.text <> ''",
         "sig_parse": f"""SELECT regex_id, '_SPDX_' || regexp_replace(licenses, '[-.+]', '_', 'g') AS entry_id, 'SPDX' AS family, regexp_replace(licenses, '[-.+]', '_', 'g') AS license,
 CASE WHEN nocheck THEN NULL ELSE 'terms' END AS key_regex, {_unquote("coalesce(regex, '')")} AS str_regex, coalesce(nocheck, FALSE) AS nocheck, licenses AS aliases FROM spdxregex WHERE licenses IS NOT NULL""",
+        "sig_parse_catalogue": _ENTRIES,
+        "sig_definitions": "SELECT lower(split_part(licenses, '-', 1)) AS doc, regex_id * 20 + 8 AS line, 'N' || regex_id AS name, length(licenses) || '+1' AS value FROM spdxregex WHERE licenses IS NOT NULL",
+        "union_families": f"SELECT license, family, {_expand('str_regex')} AS regex FROM ({_ENTRIES}) WHERE str_regex <> ''",
+        "sig_scan_keys": _keyed_scan("SELECT 'd' || doc_id AS id, text FROM documents UNION ALL SELECT 'f' || file_id, content FROM ngramfiles"),
+        "license_scores": f"""SELECT doc_id, score, CASE WHEN score >= 9 THEN 'license' WHEN score >= 4 THEN 'unsure' ELSE 'none' END AS verdict FROM (
+SELECT doc_id, coalesce(n, 0) AS score FROM documents LEFT JOIN (SELECT id AS doc_id, count(*) AS n FROM ({_keyed_scan("SELECT doc_id AS id, text FROM documents")}) GROUP BY ALL) USING (doc_id))""",
         "sig_scan": f"""SELECT DISTINCT file_id, regex_id FROM (SELECT file_id, {_scan('content')} AS t FROM (SELECT file_id, content FROM split_db_foss_licenses UNION ALL SELECT file_id, content FROM ngramfiles) WHERE content IS NOT NULL)
 JOIN (SELECT regex_id, {_strip(_collapse(_all(_expand(_unquote('regex')), r'([\p{L}])-([\p{L}])', r'\1 \2')))} AS rx FROM spdxregex) ON rx <> '' AND regexp_matches(t, '(?i)' || rx)""",
         "union_regexes": f"WITH r AS (SELECT licenses, {_unquote('regex')} AS regex FROM spdxregex WHERE licenses IS NOT NULL AND trim(regex) <> '') SELECT * FROM r UNION ALL SELECT licenses, {_expand('regex')} FROM r",

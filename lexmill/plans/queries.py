@@ -74,7 +74,10 @@ _scalar("decode_escapes", wide(files), "file_id", "content", decoded=decoded)
 _scalar("macro_expand", rules, "regex_id", "regex", expanded=lambda c: T.expand_macros(T.unquote(c)))
 _scalar("macro_erase", rules, "regex_id", "regex", erased=lambda c: T.erase_macros(T.unquote(c)))
 _scalar("wildcard_class", rules, "regex_id", "regex", kind=T.wildcard_kind, marks=T.wildcard_count)
-_scalar("regex_parts", rules, "regex_id", "regex", prefix=lambda c: T.regex_prefix(T.unquote(c)), suffix=lambda c: T.regex_suffix(T.unquote(c)))
+_scalar(
+    "regex_parts", rules, "regex_id", "regex", prefix=lambda c: T.regex_prefix(T.unquote(c)), suffix=lambda c: T.regex_suffix(T.unquote(c)),
+    last_suffix=lambda c: T.regex_last_suffix(T.unquote(c)),
+)
 _scalar("path_label", landed, "file_path", "file_path", label=T.label_of_path, is_txt=lambda c: F.lower(c).endswith(".txt"))
 _scalar("src_url_rewrite", files, "file_id", "filename", url=lambda c: T.absolute_url(F.concat(F.lit("./"), c), "https://base.example/"))
 
@@ -177,6 +180,13 @@ def ngram_context(spark, d):
     return models.context_successors(models.ngram_counts(wide(docs)(spark, d), 2, "source"), "source")
 
 
+@query
+def ngram_successors(spark, d):
+    """Contexts of bigrams of documents by source, and all their successors with their counts."""
+    listed = models.successor_lists(models.ngram_counts(wide(docs)(spark, d), 2, "source"), "source")
+    return listed.select("source", "context", F.array_join(F.transform("successors", lambda x: F.concat(x["token"], F.lit("="), x["cnt"].cast("string"))), " ").alias("successors"))
+
+
 @query
 def ngram_prob(spark, d):
     """Conditional probabilities of bigrams of documents by source."""
@@ -272,6 +282,40 @@ def sig_parse(spark, d):
     return parsed.select(F.col("doc").alias("regex_id"), "entry_id", "family", "license", "key_regex", "str_regex", "nocheck", F.array_join("aliases", "|").alias("aliases"))
 
 
+def _catalogue(spark, d):
+    """A catalogue for each label prefix, by line: many entries each, of two families in turn, with comments and definitions."""
+    r = rules(spark, d).where("licenses IS NOT NULL").withColumn("_lt", F.col("regex_id") % 2 == 0)
+    entry = F.concat(F.when(F.col("_lt"), "%ENTRY% _LT_").otherwise("%ENTRY% _SPDX_"), T.normal_label(F.col("licenses")))
+    body = F.concat(F.when(F.col("regex_id") % 5 == 0, "%?STR% ").otherwise("%STR% "), F.regexp_replace(F.coalesce("regex", F.lit('""')), "[\r\n]", " "))
+    lines = F.array(
+        F.lit("#####"), F.lit("# %ENTRY% _LT_commented_out"), entry, F.lit("# prose between"), F.when(F.col("nocheck"), F.lit("%KEY% =NULL=")).otherwise(F.lit('%KEY% "terms"')), body,
+        F.when(F.col("nocheck"), F.lit("%NOCHECK%")).otherwise(F.lit("")), F.concat(F.lit("%ALIAS% "), F.col("licenses")), F.concat(F.lit("%DEF% N"), F.col("regex_id"), F.lit("\t"), F.length("licenses"), F.lit("+1")),
+    )
+    text = r.select(F.lower(T.label_prefix(F.col("licenses"))).alias("doc"), "regex_id", F.posexplode(lines).alias("_pos", "value"))
+    return text.select("doc", (F.col("regex_id") * 20 + F.col("_pos")).alias("line"), "value")
+
+
+@query
+def sig_parse_catalogue(spark, d):
+    """Catalogues with many entries of two families, comments and definitions, parsed."""
+    parsed = signatures.parse_catalogue(_catalogue(spark, d))
+    return parsed.select("doc", "line", "entry_id", "family", "license", "key_regex", "str_regex", "nocheck", "optional_str", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query
+def sig_definitions(spark, d):
+    """Definitions of the same catalogues."""
+    return signatures.parse_definitions(_catalogue(spark, d)).select("doc", "line", "name", "value")
+
+
+@query
+def union_families(spark, d):
+    """Regexes of the SPDX entries and of the LT entries of the catalogues together, with expanded macros, without empty ones."""
+    parsed = signatures.parse_catalogue(_catalogue(spark, d)).where("str_regex <> ''")
+    one = lambda family: parsed.where(F.col("family") == family).select("license", F.lit(family).alias("family"), T.expand_macros(F.col("str_regex")).alias("regex"))
+    return one("SPDX").unionByName(one("LT"))
+
+
 @query
 def sig_scan(spark, d):
     """Which signatures match which fragments and generated files."""
@@ -280,6 +324,33 @@ def sig_scan(spark, d):
     return signatures.scan(texts, r, "file_id", "content", "regex_id", "regex")
 
 
+def _sentence_signatures(spark, d):
+    """A signature of each sentence of the licence texts: its third and fourth word; the KEY is its last word or a year, or there is none."""
+    rows = licenses(spark, d).where("license IS NOT NULL AND text IS NOT NULL").select("license", F.explode(T.sentences(F.col("text"))).alias("s"))
+    words = rows.select("license", F.split(T.for_scan(F.col("s")), " ").alias("w")).where(F.size("w") >= 6)
+    plain = words.where(F.array_join(F.slice("w", 1, 4), "").rlike("^[a-z]+$") & F.element_at("w", -1).rlike("^[a-z]+$"))
+    last = F.element_at("w", -1)
+    two = F.concat(F.lit("\\<"), F.get("w", F.lit(2)), F.lit(" "), F.get("w", F.lit(3)), F.lit("s?\\>"))
+    free = F.length(last) % 2 == 0
+    return plain.select(two.alias("regex"), F.when(free, F.concat(F.lit("("), last, F.lit("|=YEAR=)"))).alias("key_regex")).distinct().withColumn("signature", F.concat_ws("/", "regex", "key_regex"))
+
+
+@query
+def sig_scan_keys(spark, d):
+    """Which signatures drawn from the licence texts' sentences match which documents and generated files: KEY in the raw text, then STR."""
+    texts = wide(docs)(spark, d).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.col("text"))
+    texts = texts.unionByName(wide(generated)(spark, d).select(F.concat(F.lit("f"), F.col("file_id").cast("string")).alias("id"), F.col("content").alias("text")))
+    return signatures.scan(texts, _sentence_signatures(spark, d), "id", "text", "signature", "regex", "key_regex")
+
+
+@query
+def license_scores(spark, d):
+    """How many signatures each document shows, and what that says by the catalogue's limits."""
+    found = signatures.scan(wide(docs)(spark, d), _sentence_signatures(spark, d), "doc_id", "text", "signature", "regex", "key_regex")
+    scored = docs(spark, d).select("doc_id").join(found.groupBy("doc_id").agg(F.count("*").alias("_n")), "doc_id", "left").select("doc_id", F.coalesce("_n", F.lit(0)).alias("score"))
+    return scored.withColumn("verdict", signatures.score_class(F.col("score")))
+
+
 @query
 def union_regexes(spark, d):
     """Regexes as they are and with their macros expanded, by label."""

@@ -31,6 +31,12 @@ def exception_urls(spark: SparkSession, path: str, base: str, array: str = "exce
     return rows.select(F.col(f"e.{name}").alias("license"), T.absolute_url(F.col(f"e.{reference}"), base).alias("url"))
 
 
+def read_exceptions(spark: SparkSession, path: str, base: str, details: str, name: str = "licenseExceptionId", text: str = "licenseExceptionText", source: str = "exceptions") -> DataFrame:
+    """(``license``, ``source``, ``url``, ``text``): a JSON list of exceptions joined with its detail files by id; without detail the text is null."""
+    detail = spark.read.schema(f"`{name}` STRING, `{text}` STRING").json(details, multiLine=True).select(F.col(name).alias("license"), F.col(text).alias("text"))
+    return exception_urls(spark, path, base, name=name).join(detail, "license", "left").select("license", F.lit(source).alias("source"), "url", "text")
+
+
 def read_text_dict(spark: SparkSession, path: str, source: str = "dict") -> DataFrame:
     """(``license``, ``source``, ``text``) of one JSON object of texts by id."""
     whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("license", "text"))

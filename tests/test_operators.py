@@ -5,8 +5,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lexmill.functions.sampling import sample_regex
+
 from lexmill.operators import fragments as fr
 from lexmill.operators import generate as gen
 from lexmill.operators import labels as lab
@@ -147,8 +151,47 @@ def test_transpile():
 
 def test_scan(spark):
     d = spark.createDataFrame([(1, "Licensed under the GNU, General-Public terms"), (2, None), (3, ""), (4, "gnu  general public term " + "z" * 20_000)], "doc_id int, text string")
-    s = spark.createDataFrame([(10, "gnu general public terms?"), (11, "(under|over)"), (12, None), (13, "a("), (14, "gnu .{1,10} terms?"), (10, "gnu general public terms?")], "regex_id int, regex string")
+    s = spark.createDataFrame([(10, "gnu general public terms?"), (11, "(under|over)"), (12, None), (13, "a("), (14, "gnu .{1,20} terms?"), (10, "gnu general public terms?")], "regex_id int, regex string")
     for block in (20_000, 1):
-        got = {tuple(r) for r in signatures.scan(d, s, "doc_id", "text", "regex_id", "regex", block).collect()}
-        assert got == {(1, 10), (4, 10), (1, 11)} | set() or got == {(1, 10), (4, 10), (1, 11), (1, 14)}
+        got = {tuple(r) for r in signatures.scan(d, s, "doc_id", "text", "regex_id", "regex", block_rows=block).collect()}
+        assert got == {(1, 10), (4, 10), (1, 11), (1, 14), (4, 14)}
     assert signatures.scan(d, s.limit(0), "doc_id", "text", "regex_id", "regex").count() == 0
+    assert signatures.scan(d.limit(0), s, "doc_id", "text", "regex_id", "regex").count() == 0
+
+
+def test_scan_with_keys(spark):
+    d = spark.createDataFrame([(1, "Granted by Acme Corp. (C) 2001"), (2, "granted by acme corp"), (3, "granted, by-acme CORP (c)")], "doc_id int, text string")
+    rows = [("a", "granted .{1,60}rp", r"\(c\)"), ("b", ".{1,60}rp", None), ("c", "granted by", "=YEAR="), ("d", "acme", " "), ("e", "acme", "("), ("f", r"\<granted\>", r"acme corp")]
+    s = spark.createDataFrame(rows, "sig string, rx string, kx string")
+    got = {tuple(r) for r in signatures.scan(d, s, "doc_id", "text", "sig", "rx", "kx").collect()}
+    assert got == {(1, "a"), (3, "a"), (1, "b"), (2, "b"), (3, "b"), (1, "c"), (1, "d"), (2, "d"), (3, "d"), (1, "f"), (2, "f"), (3, "f")}
+
+
+@pytest.mark.parametrize("pattern, want", [(".{1,60}ab", "ab"), ("[0-9]{4}", ""), ("=YEAR=.{1,32}of", "of"), ("(AND|OR){1,4}mit", "mit"), ("ab?cd", "cd"), ("(abc)?x", "x"), ("(abc)+x", "abc"), ("a|b", ""), ("gr\u00e4nt all", "nt all")])
+def test_needle(pattern, want):
+    assert signatures.needle(signatures.transpile(pattern)) == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.from_regex(r"\A([a-c]{1,3}|x\?|y\*|\(ab\|c\)|\(ba\)\+|[a-b]\{0,2\}|\.|\[bc\]|\{){1,6}\Z"))
+def test_needle_is_in_every_word(pattern):
+    ready = signatures.transpile(pattern)
+    sure = signatures.needle(ready) if ready else ""
+    assert all(sure in w.lower() for w in sample_regex(ready or "a", 20)) if sure else True
+
+
+def test_definitions_and_scores(spark):
+    lines = spark.createDataFrame([(1, 1, "%DEF% NA\t_b+1"), (1, 2, "#%DEF% NB 2"), (1, 3, None), (1, 4, "%DEFX% N 1"), (1, 5, " %DEF% NC  (a - b) ")], "doc int, line int, value string")
+    assert {tuple(r) for r in signatures.parse_definitions(lines).collect()} == {(1, 1, "NA", "_b+1"), (1, 5, "NC", "(a - b)")}
+    scores = spark.createDataFrame([(9,), (8,), (4,), (3,), (None,)], "score int")
+    assert [r[0] for r in scores.select(signatures.score_class(F.col("score"))).collect()] == ["license", "unsure", "unsure", "none", None]
+
+
+def test_orders_in_one_pass(spark):
+    text = docs(spark, "a b. a c", None, "", "x")
+    for n in (1, 2, 3):
+        alone = {tuple(r) for r in models.ngram_counts(text, n, "license").collect()}
+        assert {tuple(r) for r in models.ngram_orders(text, [1, 2, 3], "license").where(f"n = {n}").collect()} == alone
+    assert {tuple(r) for r in models.ngram_orders(text, [1], "license").collect()} == {tuple(r) for r in models.ngram_counts(text, 1, "license").collect()}
+    lists = {r.context: [tuple(x) for x in r.successors] for r in models.successor_lists(models.ngram_counts(text, 2, "license"), "license").collect()}
+    assert lists["a"] == [("b", 1), ("c", 1)] and lists["<START>"] == [(".", 1), ("a", 2), ("x", 1)]

@@ -22,6 +22,9 @@ def test_catalogues(spark, tmp_path):
     assert {(r.license, r.text) for r in catalogs.read_list_catalogue(spark, str(tmp_path / "list.json"), str(tmp_path / "d")).collect()} == {("X-1.0", "body"), ("Y", None)}
     (tmp_path / "e.json").write_text(json.dumps({"exceptions": [{"reference": "./e.html", "licenseExceptionId": "E"}]}))
     assert catalogs.exception_urls(spark, str(tmp_path / "e.json"), "https://b/").first()["url"] == "https://b/e.html"
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e" / "E.json").write_text(json.dumps({"licenseExceptionId": "E", "licenseExceptionText": "may link"}))
+    assert [tuple(r) for r in catalogs.read_exceptions(spark, str(tmp_path / "e.json"), "https://b/", str(tmp_path / "e")).collect()] == [("E", "exceptions", "https://b/e.html", "may link")]
     (tmp_path / "dict.json").write_text(json.dumps({"A": "x", "B": "y\nz"}))
     assert {(r.license, r.text) for r in catalogs.read_text_dict(spark, str(tmp_path / "dict.json")).collect()} == {("A", "x"), ("B", "y\nz")}
 
