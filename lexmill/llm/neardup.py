@@ -31,6 +31,12 @@ def _subsets(threshold: int) -> list[tuple[int, ...]]:
     return [] if threshold < 0 else list(itertools.combinations(range(WIDTH), WIDTH - threshold))
 
 
+def _upper_half(hashes: np.ndarray) -> np.ndarray:
+    """The upper 32 bits of sorted hashes, each once."""
+    out = (hashes >> np.uint64(32)).astype(np.uint32)
+    return out[np.concatenate([[True], out[1:] != out[:-1]])].view(np.int32)
+
+
 def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_words: int) -> DataFrame:
     """(``id``, ``digest``, ``n``, ``sketch`` bytes, ``shingles`` as sorted ints) of the rows with enough words."""
 
@@ -47,8 +53,7 @@ def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_word
                     n = at[k + 1] - at[k]
                     if n < max(min_words, words):
                         continue
-                    own = np.unique(g[at[k] : at[k + 1] - words + 1])
-                    out.append((ids[a + k], own))
+                    out.append((ids[a + k], np.unique(g[at[k] : at[k + 1] - words + 1])))
                 if not out:
                     continue
                 flat = np.concatenate([s for _, s in out])
@@ -59,7 +64,7 @@ def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_word
                     sketch[:, j], sketch[:, PARTS * WIDTH + j] = value & np.uint64(255), (value >> np.uint64(8)) & np.uint64(255)
                 yield pd.DataFrame({
                     "id": [i for i, _ in out], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for _, s in out], "n": [len(s) for _, s in out],
-                    "sketch": [r.tobytes() for r in sketch], "shingles": [(s >> np.uint64(32)).astype(np.uint32).view(np.int32) for _, s in out],
+                    "sketch": [r.tobytes() for r in sketch], "shingles": [_upper_half(s) for _, s in out],
                 })
 
     wanted = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
@@ -78,22 +83,56 @@ def _bytes(sketches, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(map(bytes, sketches)), dtype=np.uint8).reshape(-1, width)
 
 
-def _matrix(sketches) -> np.ndarray:
+def _matrix(sketches, order: list[int]) -> np.ndarray:
+    """The min-hash values of some sketches, those of a partition side by side."""
     both = _bytes(sketches, 2 * PARTS * WIDTH).astype(np.uint64)
-    return both[:, : PARTS * WIDTH] | both[:, PARTS * WIDTH :] << np.uint64(8)
+    return (both[:, : PARTS * WIDTH] | both[:, PARTS * WIDTH :] << np.uint64(8))[:, order]
 
 
-def estimate_candidates(sketches: DataFrame) -> dict[tuple[int, int], float]:
-    """Pairs that would share a signature, for each partition and threshold, over all rows.
+def correlated_order(sketches: DataFrame) -> list[int]:
+    """The values in an order that puts those whose bits change together into one partition, measured over all rows.
+
+    The bits of one value always go together. Between values, the correlation of their lowest bits is summed over the
+    rows (a fixed table of values by values); partitions are then filled greedily: the two most correlated values that are
+    left, and the values most correlated with those chosen. Ties go by number.
+    """
+    values = PARTS * WIDTH
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((values, values), np.int64)
+        for pdf in batches:
+            if len(pdf):
+                bits = 2.0 * (_matrix(pdf["sketch"].array, list(range(values))) & np.uint64(1)).astype(np.float32) - 1.0
+                total += (bits.T @ bits).astype(np.int64)
+        i, j = np.triu_indices(values, 1)
+        yield pd.DataFrame({"i": i, "j": j, "v": total[i, j]})
+
+    summed = sketches.select("sketch").mapInPandas(run, "i int, j int, v long").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    together = np.zeros((values, values))
+    for r in summed.collect():  # values * (values - 1) / 2 rows
+        together[r.i, r.j] = together[r.j, r.i] = abs(r.v)
+    left, order = list(range(values)), []
+    while left:
+        part = list(max(itertools.combinations(left, 2), key=lambda p: (together[p], -p[0], -p[1])))
+        while len(part) < WIDTH:
+            part.append(max((x for x in left if x not in part), key=lambda x: (together[x, part].sum(), -x)))
+        order += part
+        left = [x for x in left if x not in part]
+    return order
+
+
+def estimate_candidates(sketches: DataFrame, order: list[int], rows: int, hot_share: int = 200) -> tuple[dict[tuple[int, int], float], set[tuple[int, int, int, int]]]:
+    """Pairs that would share a signature, for each partition and threshold, over all rows; and where hot signatures lie.
 
     The number of pairs is half the second moment of the signatures' counts less the rows; it is estimated with a
-    signed counter sketch of fixed size (two counters a row and signature, summed), so nothing grows with the data.
+    signed counter sketch of fixed size (two counters a row and signature, summed), so nothing grows with the data. A
+    counter of over ``1/hot_share`` of the rows tells of a hot signature: (partition, threshold, subset, counter).
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[tuple[int, int, int], np.ndarray] = {}
         for pdf in batches:
-            values = _matrix(pdf["sketch"].array)
+            values = _matrix(pdf["sketch"].array, order)
             for part in range(PARTS):
                 for threshold in THRESHOLDS[1:]:
                     for k, subset in enumerate(_subsets(threshold)):
@@ -108,10 +147,12 @@ def estimate_candidates(sketches: DataFrame) -> dict[tuple[int, int], float]:
 
     counters = sketches.select("sketch").mapInPandas(run, "part int, threshold int, k int, bucket int, value long")
     summed = counters.groupBy("part", "threshold", "k", "bucket").agg(F.sum("value").alias("v"))
-    moments = summed.groupBy("part", "threshold").agg(F.sum(F.col("v").cast("double") * F.col("v")).alias("f2"))
-    n = sketches.count()
-    # At most PARTS * 2 rows come back.
-    return {(r.part, r.threshold): max(0.0, (r.f2 - n * len(_subsets(r.threshold))) / 2) for r in moments.collect()}
+    high = F.when(F.abs("v") > max(rows / hot_share, 256), F.struct("k", "bucket"))
+    moments = summed.groupBy("part", "threshold").agg(F.sum(F.col("v").cast("double") * F.col("v")).alias("f2"), F.collect_list(high).alias("hot"))
+    # At most PARTS * 2 rows come back, each with at most the fixed number of counters.
+    found = moments.collect()
+    pairs = {(r.part, r.threshold): max(0.0, (r.f2 - rows * len(_subsets(r.threshold))) / 2) for r in found}
+    return pairs, {(r.part, r.threshold, x.k, x.bucket) for r in found for x in r.hot}
 
 
 def allocate(candidates: dict[tuple[int, int], float], rows: int, similarity: float, recall: float) -> list[int]:
@@ -139,22 +180,29 @@ def allocate(candidates: dict[tuple[int, int], float], rows: int, similarity: fl
                 if to not in after or worth < after[to][0]:
                     after[to] = (worth, [*chosen, threshold])
         best = after
-    return best[max(best)][1]
+    if goal not in best:
+        raise ValueError(f"{PARTS} partitions of {WIDTH} values can't reach a recall of {recall} at a similarity of {similarity}")
+    return best[goal][1]
 
 
-def candidate_pairs(sketches: DataFrame, thresholds: list[int], group_limit: int = 256) -> tuple[DataFrame, DataFrame]:
+def candidate_pairs(sketches: DataFrame, thresholds: list[int], order: list[int] | None = None, hot: set[tuple[int, int, int, int]] | None = None, group_limit: int = 256) -> tuple[DataFrame, DataFrame]:
     """The written table of pairs as found, and (``a``, ``b``), ``a < b``: the pairs that share a signature, each once.
 
     Signatures are grouped by one shuffle; a group of up to ``group_limit`` rows gives its pairs where it lies; the
-    rows of larger groups are joined in salted blocks, so that no task holds such a group.
+    rows of larger groups are joined in salted blocks, so that no task holds such a group. Signatures whose counter is
+    ``hot`` go there at once and never meet in a task of that shuffle.
     """
+    order = order or list(range(PARTS * WIDTH))
     chosen = [(part, subset) for part, t in enumerate(thresholds) for subset in _subsets(t)]
+    counters = [[b for p, t, k, b in hot or () if p == part and t == thresholds[part] and k == _subsets(t).index(subset)] for part, subset in chosen]
 
     def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values, ids = _matrix(pdf["sketch"].array), pdf["id"].to_numpy()
-            sig = np.concatenate([_signature(values, part, subset) for part, subset in chosen]) if chosen else np.zeros(0, np.uint64)
-            yield pd.DataFrame({"sig": sig.view(np.int64), "id": np.tile(ids, len(chosen))})
+            values, ids = _matrix(pdf["sketch"].array, order), pdf["id"].to_numpy()
+            sig = [_signature(values, part, subset) for part, subset in chosen]
+            high = [np.isin((s & np.uint64(_BUCKETS - 1)).astype(np.int64), c) if c else np.zeros(len(s), bool) for s, c in zip(sig, counters)]
+            flat = np.concatenate(sig).view(np.int64) if chosen else np.zeros(0, np.int64)
+            yield pd.DataFrame({"sig": flat, "id": np.tile(ids, len(chosen)), "hot": np.concatenate(high) if chosen else np.zeros(0, bool)})
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def emit(sig: np.ndarray, ids: np.ndarray) -> Iterator[pd.DataFrame]:
@@ -193,8 +241,10 @@ def candidate_pairs(sketches: DataFrame, thresholds: list[int], group_limit: int
         if len(held_sig):
             yield from emit(held_sig, held_ids)
 
-    grouped = sketches.select("id", "sketch").mapInPandas(signatures, "sig long, id long").repartition("sig").sortWithinPartitions("sig")
-    found = materialize(grouped.mapInPandas(pairs, "sig long, a long, b long"), "pairs")
+    signed = sketches.select("id", "sketch").mapInPandas(signatures, "sig long, id long, hot boolean")
+    grouped = (signed.where("NOT hot") if hot else signed).select("sig", "id").repartition("sig").sortWithinPartitions("sig")
+    met = grouped.mapInPandas(pairs, "sig long, a long, b long")
+    found = materialize(met.unionByName(signed.where("hot").select("sig", F.col("id").alias("a"), F.lit(-1).cast("long").alias("b"))) if hot else met, "pairs")
     small = found.where("b <> -1").select("a", "b")
     blocks = 16
     heavy = found.where("b = -1").select("sig", F.col("a").alias("id"))
@@ -209,11 +259,13 @@ class NearDuplicates:
 
     Records are compared by the sets of ``words`` consecutive words of their texts; ``similarity`` is the least Jaccard
     similarity. Records with the same set form a class, named by its smallest id. Each class has a sketch of 72
-    min-hash values. The bits of one value change together, so they are grouped: a partition is three values, and
-    the distance counts values. Each partition gets its own threshold (skipped, none or one value may differ) by
-    dynamic programming over the candidates that all rows are estimated to give, such that a pair just at the
-    similarity is found with probability ``recall``, and more similar ones with more. Candidates are pruned by the
-    distance of the sketches where it rules them out by over four deviations, then verified exactly.
+    min-hash values. The bits of one value change together, so they are grouped; a partition is three values whose bits
+    are most correlated over all rows, and the distance counts values. Each partition gets its own threshold (skipped,
+    none or one value may differ) by dynamic programming over the candidates that all rows are estimated to give, such
+    that a pair just at the similarity is found with probability ``recall``, and more similar ones with more. Candidates
+    are pruned by the distance of the sketches where it rules them out by over four deviations, then verified by the
+    Jaccard similarity of their whole sets; a shingle stands there as the upper 32 bits of its 64-bit hash, so a pair of
+    sets of n shingles is misjudged with a chance of about n * n / 2**32 times that of lying within a shingle of the threshold.
 
     Null texts and texts with fewer than ``min_words`` words have no class; ids are taken as unique (a repeated id
     counts once); an empty table gives empty tables.
@@ -226,13 +278,16 @@ class NearDuplicates:
         # Most classes have one member: only the others' members are joined.
         self.copies = materialize(self.rows.select("id", "digest").join(several, "digest").select("id", "rep").distinct(), "copies")
         spare = self.copies.where("id <> rep").select("id")
-        distinct = self.rows.join(spare, "id", "left_anti")
-        counts = estimate_candidates(distinct)
-        n = self.rows.count()
+        distinct = materialize(self.rows.select("id", "sketch").join(spare, "id", "left_anti"), "sketches")
+        n = distinct.count()
+        self.order = correlated_order(distinct)
+        counts, hot = estimate_candidates(distinct, self.order, n)
         self.thresholds = allocate(counts, n, similarity, recall)
-        raw, pairs = candidate_pairs(distinct, self.thresholds)
+        raw, pairs = candidate_pairs(distinct, self.thresholds, self.order, hot)
         found = materialize(pairs, "candidates")
         discard(raw)
+        discard(distinct)
+        discard(several)
         self.links = self._verified(found, similarity)
 
     def _verified(self, found: DataFrame, similarity: float) -> DataFrame:
@@ -280,7 +335,11 @@ class NearDuplicates:
         a = several.select(F.col("rep").alias("a"), F.col("id").alias("id_a"))
         b = several.select(F.col("rep").alias("b"), F.col("id").alias("id_b"))
         across = self.links.select("a", "b").join(a, "a", "left").join(b, "b", "left").select(full("a").alias("x"), full("b").alias("y"))
-        within = a.join(b, F.col("a") == F.col("b")).where("id_a < id_b").select(F.col("id_a").alias("x"), F.col("id_b").alias("y"))
+        # A class of many copies is joined in blocks of one side.
+        blocks = 16
+        left = a.withColumn("_k", F.pmod(F.xxhash64("id_a"), F.lit(blocks)))
+        right = b.select(F.col("b").alias("a"), "id_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_k"))
+        within = left.join(right, ["a", "_k"]).where("id_a < id_b").select(F.col("id_a").alias("x"), F.col("id_b").alias("y"))
         return across.unionByName(within).select(F.least("x", "y").alias("file_id_a"), F.greatest("x", "y").alias("file_id_b"))
 
 

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import components
 from lexmill.llm.vec import Codes, chunks
-from lexmill.runtime import materialize
+from lexmill.runtime import discard, materialize
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -44,31 +45,50 @@ def anchors(codes: Codes, span: int, shingle: int) -> np.ndarray:
 
 
 def anchor_rows(distinct: DataFrame, span: int, shingle: int) -> DataFrame:
-    """(``fp``, ``rep``, ``at`` places of the context, ``left``, ``ctx``): each anchor with the text of all windows around it."""
+    """(``fp``, ``rep``, ``at``): the different anchors of each text and their places; no text is sent."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reach = span - shingle
         for pdf in batches:
             ids, texts = pdf["rep"].to_numpy(), list(pdf["text"].array)
             for a, b in chunks(texts):
                 codes = Codes(texts[a:b])
                 places = anchors(codes, span, shingle)
+                if not len(places):
+                    continue
                 owner = np.searchsorted(codes.bounds, places, side="right") - 1
-                low = np.maximum(codes.bounds[owner], places - reach)
-                high = np.minimum(codes.bounds[owner + 1], places + span)
                 fp = codes.spans(places, places + shingle).view(np.int64)
-                same = codes.spans(low, high) ^ (owner.astype(np.uint64) << np.uint64(40))
-                # A context that a text repeats (a ruled line, say) is sent once, with all its places.
-                _, first, group = np.unique(same, return_index=True, return_inverse=True)
-                order = np.argsort(group, kind="stable")
-                cuts = np.searchsorted(group[order], np.arange(len(first) + 1))
-                starts = low - codes.bounds[owner]
-                at = [starts[order[cuts[k] : cuts[k + 1]]].astype(np.int32) for k in range(len(first))]
-                base = codes.bounds[owner]
-                ctx = [texts[a + owner[f]][low[f] - base[f] : high[f] - base[f]] for f in first]
-                yield pd.DataFrame({"fp": fp[first], "rep": ids[a + owner[first]], "at": at, "left": (places - low)[first].astype(np.int32), "ctx": ctx})
+                order = np.lexsort((places, fp, owner))
+                fp, owner, places = fp[order], owner[order], (places - codes.bounds[owner])[order].astype(np.int32)
+                first = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (owner[1:] != owner[:-1])]))
+                yield pd.DataFrame({"fp": fp[first], "rep": ids[a + owner[first]], "at": np.split(places, first[1:])})
 
-    return distinct.select("rep", "text").mapInPandas(run, "fp long, rep long, at array<int>, left int, ctx string")
+    return distinct.select("rep", "text").mapInPandas(run, "fp long, rep long, at array<int>")
+
+
+CONTEXT = "fp long, heavy boolean, rep long, at array<int>, left int, ctx string"
+
+
+def context_rows(asked: DataFrame, span: int, shingle: int) -> DataFrame:
+    """The text of all windows around each anchor asked for. ``asked``: ``rep``, ``text``, ``own`` (anchors of it: ``fp``, ``heavy``, ``at``).
+
+    ``at`` becomes the places where the context begins. A context that a text repeats (a ruled line, say) is sent once,
+    with all its places.
+    """
+    reach = span - shingle
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out: list[tuple] = []
+            for rep, text, own in zip(pdf["rep"].to_numpy(), pdf["text"].array, pdf["own"].array):
+                for anchor in own:
+                    met: dict[tuple[str, int], list[int]] = {}
+                    for place in anchor["at"]:
+                        low = max(0, place - reach)
+                        met.setdefault((text[low : place + span], place - low), []).append(low)
+                    out += [(anchor["fp"], anchor["heavy"], rep, at, left, ctx) for (ctx, left), at in met.items()]
+            yield pd.DataFrame(out, columns=["fp", "heavy", "rep", "at", "left", "ctx"]).astype({"fp": "int64", "heavy": "bool", "rep": "int64", "left": "int32"})
+
+    return asked.select("rep", "text", "own").mapInPandas(run, CONTEXT)
 
 
 def _windows(ctx: list[str], left: np.ndarray, span: int, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,101 +104,93 @@ def _windows(ctx: list[str], left: np.ndarray, span: int, shingle: int) -> tuple
     return codes.spans(begin, begin + span), which, start
 
 
-OUT = "kind int, rep long, first int, last int, to long, at array<int>, left int, ctx string"
+OUT = "rep long, first int, last int, to long"
+
+
+def _exact_keys(ctx: list[str], which: np.ndarray, start: np.ndarray, span: int) -> np.ndarray:
+    """A number for each different window, by its text."""
+    seen: dict[str, int] = {}
+    return np.array([seen.setdefault(ctx[w][s : s + span], len(seen)) for w, s in zip(which, start)], dtype=np.uint64)
 
 
-def shared_stretches(found: DataFrame, span: int, shingle: int, group_limit: int) -> DataFrame:
-    """Stretches of shared windows (kind 0), and the anchors of groups beyond ``group_limit`` rows as they came (kind 1)."""
+def _group_windows(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each window: whether another record has its key, the smallest record with it, and a window of that record."""
+    order = np.lexsort((owner, key))
+    edge = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+    group = np.repeat(np.arange(len(edge)), np.diff(np.concatenate([edge, [len(key)]])))
+    last = np.concatenate([edge[1:], [len(key)]]) - 1
+    shared, to, twin = np.zeros(len(key), bool), np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+    shared[order] = (owner[order][edge] != owner[order][last])[group]
+    to[order], twin[order] = owner[order][edge][group], order[edge][group]
+    return shared, to, twin
+
+
+def shared_stretches(contexts: DataFrame, span: int, shingle: int) -> DataFrame:
+    """Stretches of shared windows: ``rep``, ``first``, ``last`` and ``to``, the smallest record that shares them.
+
+    Groups of one anchor meet in a task. Windows are sorted by hash; each run of windows is then compared with the run
+    it equals, text by text, and should a hash ever lie, the windows of that block are told apart by their texts.
+    """
     block = 4000
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def verify(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            """Whole groups, sorted by fp."""
-            fp = pdf["fp"].to_numpy()
-            edge = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, int)
-            size = np.diff(np.concatenate([edge, [len(fp)]])) if len(fp) else edge
-            many = np.repeat(size > group_limit, size)
-            if many.any():
-                yield raw(pdf[many])
-            pdf = pdf[np.repeat((size > 1) & (size <= group_limit), size)]
-            for k in range(0, len(pdf), block):  # equal windows have equal anchors, so blocks are cut between groups
-                part = pdf.iloc[k : k + block]
-                if k + block < len(pdf):
-                    tail = part["fp"].iloc[-1]
-                    rest = pdf.iloc[k + block :]
-                    part = pd.concat([part, rest[rest["fp"] == tail]])
-                if k and len(part) and pdf["fp"].iloc[k - 1] == part["fp"].iloc[0]:
-                    part = part[part["fp"] != part["fp"].iloc[0]]
-                if len(part):
-                    yield from stretches(part)
-
         def stretches(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            rep, at = part["rep"].to_numpy(), part["at"].array
-            key, which, start = _windows(list(part["ctx"].array), part["left"].to_numpy(), span, shingle)
+            rep, at, ctx = part["rep"].to_numpy(), part["at"].array, list(part["ctx"].array)
+            key, which, start = _windows(ctx, part["left"].to_numpy(), span, shingle)
             if not len(key):
                 return
-            order = np.argsort(key, kind="stable")
-            edge = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
-            owners = rep[which[order]]
-            low, high = np.minimum.reduceat(owners, edge), np.maximum.reduceat(owners, edge)
-            group = np.repeat(np.arange(len(edge)), np.diff(np.concatenate([edge, [len(key)]])))
-            shared, to = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
-            shared[order], to[order] = (low != high)[group], low[group]
-            # Runs of neighbouring shared windows of one context with one partner class become a stretch.
-            w, s, t = which[shared], start[shared], to[shared]
-            if not len(w):
-                return
-            new = np.concatenate([[True], (w[1:] != w[:-1]) | (s[1:] != s[:-1] + 1) | (t[1:] != t[:-1])])
-            f = np.flatnonzero(new)
-            l = np.concatenate([f[1:], [len(w)]]) - 1
+            for exact in (False, True):
+                shared, to, twin = _group_windows(_exact_keys(ctx, which, start, span) if exact else key, rep[which])
+                at_run = np.flatnonzero(shared)
+                if not len(at_run):
+                    return
+                w, s, t, u = which[at_run], start[at_run], to[at_run], twin[at_run]
+                # A run: neighbouring windows of one context that equal neighbouring windows of one other.
+                new = np.concatenate([[True], (w[1:] != w[:-1]) | (s[1:] != s[:-1] + 1) | (t[1:] != t[:-1]) | (which[u[1:]] != which[u[:-1]]) | (start[u[1:]] != start[u[:-1]] + 1)])
+                f = np.flatnonzero(new)
+                l = np.concatenate([f[1:], [len(w)]]) - 1
+                size = s[l] - s[f] + span
+                if exact or all(ctx[a][i : i + n] == ctx[b][j : j + n] for a, i, b, j, n in zip(w[f], s[f], which[u[f]], start[u[f]], size)):
+                    break
             repeats = np.array([len(at[x]) for x in w[f]])
-            places = np.concatenate([np.asarray(at[x], dtype=np.int64) for x in w[f]])
-            yield out(0, np.repeat(rep[w[f]], repeats), places + np.repeat(s[f], repeats), places + np.repeat(s[l] + span, repeats), np.repeat(t[f], repeats))
-
-        def out(kind, rep, first, last, to) -> pd.DataFrame:
-            frame = pd.DataFrame({"kind": kind, "rep": rep, "first": first, "last": last, "to": to})
-            return frame.assign(at=None, left=0, ctx=None)
-
-        def raw(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pdf[["rep", "at", "left", "ctx"]].assign(kind=1, first=0, last=0, to=0)[["kind", "rep", "first", "last", "to", "at", "left", "ctx"]]
+            places = np.concatenate([np.asarray(at[x], dtype=np.int64) for x in w[f]]) + np.repeat(s[f], repeats)
+            yield pd.DataFrame({"rep": np.repeat(rep[w[f]], repeats), "first": places.astype(np.int32), "last": (places + np.repeat(size, repeats)).astype(np.int32), "to": np.repeat(t[f], repeats)})
 
-        held, large = None, None
-        for pdf in batches:
-            pdf = pdf if held is None or not len(held) else pd.concat([held, pdf], ignore_index=True)
-            held = None
-            if large is not None:
-                yield raw(pdf[pdf["fp"] == large])
-                pdf = pdf[pdf["fp"] != large]
+        held: list[pd.DataFrame] = []
+        for pdf in batches:  # sorted by anchor; the last group of a batch may go on in the next
             if not len(pdf):
                 continue
-            large = None
-            last = pdf["fp"].iloc[-1]
-            mask = (pdf["fp"] == last).to_numpy()
-            yield from verify(pdf[~mask])
-            held = pdf[mask]
-            if len(held) > group_limit:
-                yield raw(held)
-                held, large = None, last
-        if held is not None and len(held):
-            yield from verify(held)
+            pdf = pd.concat([*held, pdf], ignore_index=True) if held else pdf
+            fp = pdf["fp"].to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
+            done, held = 0, [pdf.iloc[edges[-1] :]]
+            for e in edges[1:]:
+                if e - done >= block:
+                    yield from stretches(pdf.iloc[done:e])
+                    done = e
+            if edges[-1] > done:
+                yield from stretches(pdf.iloc[done : edges[-1]])
+        if held:
+            yield from stretches(held[0])
 
-    return found.repartition("fp").sortWithinPartitions("fp").mapInPandas(run, OUT)
+    return contexts.where("NOT heavy").drop("heavy").repartition("fp").sortWithinPartitions("fp").mapInPandas(run, OUT)
 
 
-def _large_groups(raw: DataFrame, span: int, shingle: int) -> DataFrame:
-    """The same for groups too large for a task: every window is a row, hashes are counted with partial aggregation."""
+def heavy_stretches(contexts: DataFrame, span: int, shingle: int) -> DataFrame:
+    """The same for anchors with too many rows for a task: every window is a row, told by a 128-bit hash of its text and counted with partial aggregation."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for k in range(0, len(pdf), 2000):
                 part = pdf.iloc[k : k + 2000]
-                key, which, start = _windows(list(part["ctx"].array), part["left"].to_numpy(), span, shingle)
-                rep, at = part["rep"].to_numpy(), part["at"].array
+                ctx, rep, at = list(part["ctx"].array), part["rep"].to_numpy(), part["at"].array
+                _, which, start = _windows(ctx, part["left"].to_numpy(), span, shingle)
+                key = [xxhash.xxh3_128_digest(ctx[w][s : s + span].encode("utf-8", "surrogatepass")) for w, s in zip(which, start)]
                 repeats = np.array([len(at[x]) for x in which], dtype=int)
                 places = np.concatenate([np.asarray(at[x], dtype=np.int64) for x in which]) if len(which) else np.zeros(0, np.int64)
-                yield pd.DataFrame({"h": np.repeat(key.view(np.int64), repeats), "rep": np.repeat(rep[which], repeats), "first": places + np.repeat(start, repeats)})
+                yield pd.DataFrame({"h": np.repeat(np.array(key, dtype=object), repeats), "rep": np.repeat(rep[which], repeats), "first": places + np.repeat(start, repeats)})
 
-    windows = materialize(raw.select("rep", "at", "left", "ctx").mapInPandas(run, "h long, rep long, first long"), "windows")
+    windows = materialize(contexts.where("heavy").select("rep", "at", "left", "ctx").mapInPandas(run, "h binary, rep long, first long"), "windows")
     several = windows.groupBy("h").agg(F.min("rep").alias("to"), F.max("rep").alias("_high")).where(F.col("to") != F.col("_high"))
     return windows.join(several.select("h", "to"), "h").select("rep", F.col("first").cast("int"), (F.col("first") + span).cast("int").alias("last"), "to").distinct()
 
@@ -188,13 +200,14 @@ class SharedSpans:
 
     Every window of ``span`` code points is taken as a paragraph. Its signature is one band of one min-hash over its
     ``shingle``-character shingles, the banding of highest recall: equal windows always collide. Neighbouring windows
-    mostly share their min-hash, so a record sends one row for each distinct anchor (about ``2 / (span - shingle)`` of
-    its characters), with the text around it. Colliding windows are verified exactly, window by window, within the
-    groups of an anchor. Records with equal texts are collapsed before and count as each other's partners. A group
-    beyond ``group_limit`` rows is spread window by window over the cluster.
+    mostly share their min-hash, so a record has about ``2 / (span - shingle)`` anchors a character. Anchors are
+    counted before any text is sent: only those that stand in two records or more get their context, and those with more
+    than ``group_limit`` rows, known from the count, are spread window by window over the cluster; so a task of the
+    others holds groups of bounded size. Colliding windows are compared as texts. Records with equal texts (by a
+    128-bit digest) are collapsed before and count as each other's partners.
 
     Null texts and texts shorter than ``span`` share nothing; a record's own repeats don't count; ids are taken as
-    unique; an empty table gives empty tables.
+    unique; an empty table gives an empty table.
     """
 
     def __init__(self, df: DataFrame, id_col: str = "file_id", text_col: str = "content", span: int = 160, shingle: int = 32, group_limit: int = 2000) -> None:
@@ -205,9 +218,15 @@ class SharedSpans:
         several = keyed.groupBy("d").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").select("d", "rep")
         self.copies = materialize(keyed.join(several, "d").select("id", "rep").distinct(), "copies")
         distinct = long.join(self.copies.where("id <> rep").select("id"), "id", "left_anti").select(F.col("id").alias("rep"), "text")
-        found = materialize(shared_stretches(anchor_rows(distinct, span, shingle), span, shingle, group_limit), "stretches")
-        plain = found.where("kind = 0").select("rep", "first", "last", "to")
-        self.stretches = plain.unionByName(_large_groups(found.where("kind = 1"), span, shingle))
+        places = materialize(anchor_rows(distinct, span, shingle), "anchors")
+        met = places.groupBy("fp").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.count("*").alias("_n")).where("_low <> _high")
+        met = met.select("fp", (F.col("_n") > group_limit).alias("heavy"))
+        own = places.join(met, "fp").groupBy("rep").agg(F.collect_list(F.struct("fp", "heavy", "at")).alias("own"))
+        contexts = materialize(context_rows(long.select(F.col("id").alias("rep"), "text").join(own, "rep"), span, shingle), "contexts")
+        discard(places)
+        self.stretches = shared_stretches(contexts, span, shingle).unionByName(heavy_stretches(contexts, span, shingle))
+        self.stretches = materialize(self.stretches, "stretches")
+        discard(contexts)
 
     def covered(self) -> DataFrame:
         """(``rep``, ``shared``): the characters of each distinct text that shared windows cover."""

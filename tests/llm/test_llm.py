@@ -256,6 +256,12 @@ def test_near_duplicates(spark, monkeypatch):
     thresholds = [0] * neardup.PARTS
     one = {tuple(r) for r in neardup.candidate_pairs(sketches, thresholds)[1].collect()}
     assert {tuple(r) for r in neardup.candidate_pairs(sketches, thresholds, group_limit=1)[1].collect()} == one
+    # So do hot signatures, wherever their counters lie.
+    every = {(p, 0, 0, b) for p in range(neardup.PARTS) for b in range(0, neardup._BUCKETS, 2)}
+    assert {tuple(r) for r in neardup.candidate_pairs(sketches, thresholds, hot=every)[1].collect()} == one
+    assert sorted(near.order) == list(range(neardup.PARTS * neardup.WIDTH))
+    counts, hot = neardup.estimate_candidates(sketches.limit(1).crossJoin(spark.range(600).withColumnRenamed("id", "_n")).select("id", "sketch"), near.order, 600, 2)
+    assert len(hot) == neardup.PARTS * 4 and all(abs(c - (600 * 600 - 600) / 2 * (3 if t else 1)) < 1 for (_, t), c in counts.items())
     empty = neardup.NearDuplicates(df.limit(0))
     assert empty.pairs().count() == 0 and empty.groups().count() == 0
 
@@ -264,7 +270,8 @@ def test_allocation():
     cheap = {(p, t): (10.0 if p < 20 else 1e6) * (1 + 5 * t) for p in range(neardup.PARTS) for t in (0, 1)}
     chosen = neardup.allocate(cheap, 100, 0.8, 0.99)
     assert all(t == -1 for t in chosen[20:]) and any(t >= 0 for t in chosen)
-    assert all(t >= 0 for t in neardup.allocate({}, 1, 0.3, 0.999999))
+    with pytest.raises(ValueError):
+        neardup.allocate({}, 1, 0.2, 0.999)
 
 
 # -- leaks ----------------------------------------------------------------------------------------------------------
