@@ -181,12 +181,26 @@ WHERE trim(line) <> '' AND json_valid(line) AND json_extract(line, '$.file_id')
 """
 
 
+P2_VALIDATION = r"""
+WITH lines AS (
+  SELECT landed_at, file_path, i AS line_no, regexp_replace(l[i], '\r$', '') AS line, octet_length(encode(l[i])) AS n
+  FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM (SELECT landed_at, file_path, string_split(payload, chr(10)) AS l FROM landed_files WHERE payload IS NOT NULL))),
+told AS (SELECT *, octet_length(encode(line)) AS b, CASE WHEN trim(line) = '' THEN 'blank' WHEN json_valid(line) AND json_extract(line, '$.file_id') IS NOT NULL THEN 'complete' ELSE 'torn' END AS kind FROM lines),
+once AS (SELECT b FROM told WHERE kind = 'complete' QUALIFY row_number() OVER (PARTITION BY CAST(json_extract(line, '$.file_id') AS BIGINT) ORDER BY landed_at NULLS LAST, file_path, line_no) = 1),
+sums AS (SELECT count(*) FILTER (kind = 'complete') AS complete_lines, count(*) FILTER (kind = 'torn') AS torn_lines, coalesce(sum(b) FILTER (kind = 'torn'), 0)::BIGINT AS torn_bytes, count(*) FILTER (kind = 'blank') AS blank_lines FROM told),
+source AS (SELECT count(payload) AS files, sum(octet_length(encode(payload)))::BIGINT AS source_bytes, count(*) FILTER (octet_length(encode(payload)) <> n_bytes) AS wrong_length FROM landed_files)
+SELECT (SELECT count(*) FROM once) AS records, (SELECT sum(b)::BIGINT FROM once) AS bytes, files, source_bytes, wrong_length, complete_lines, torn_lines, torn_bytes, blank_lines, TRUE AS valid FROM sums, source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL by query."""
     lines = f"string_split({_newlines('text')}, chr(10))"
     times = f"(SELECT regex_id, 1 + floor({_draw('k')} * 4)::INT AS t, prefix AS p, suffix AS s FROM (SELECT *, regex_id || '|times' AS k FROM ({_PARTS}) WHERE prefix || suffix <> '' OR TRUE))"
     return {
         "p2_found": P2_FOUND,
+        "p2_validation": P2_VALIDATION,
+        "p2_frames": "SELECT count(*) AS files, sum(octet_length(encode(payload)))::BIGINT AS bytes, sum(length(payload) - length(replace(payload, chr(10), '')))::BIGINT AS lines FROM landed_files WHERE payload <> ''",
         "clean_text": f"SELECT doc_id, {_clean('text')} AS cleaned FROM documents",
         "para_join": f"SELECT doc_id, array_to_string({_paragraphs('text')}, '. ') AS joined FROM documents",
         "blank_lines": f"SELECT doc_id, (len(list_filter({lines}, lambda x: regexp_full_match(x, '{_WS}*'))) - CASE WHEN {lines}[-1] = '' THEN 1 ELSE 0 END + 1)::INT AS blank_lines FROM documents",

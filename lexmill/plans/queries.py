@@ -48,8 +48,16 @@ def p2_found(spark, d):
 
 @query
 def p2_validation(spark, d):
-    """Records, bytes and checksum of the consolidated files, and whether they match what was written."""
-    return compaction.consolidate(landed(spark, d))[1]
+    """Records and bytes of the consolidated files, what the source files hold, and whether the two agree."""
+    told = compaction.consolidate(landed(spark, d))[1]
+    return told.select("records", "bytes", "files", "source_bytes", "wrong_length", "complete_lines", "torn_lines", "torn_bytes", "blank_lines", "valid")
+
+
+@query
+def p2_frames(spark, d):
+    """The payloads as zstandard frames, joined to few files and read back: files, bytes and line feeds."""
+    joined = compaction.join_frame_files(compaction.as_frames(landed(spark, d)))
+    return compaction.split_frames(joined).agg(F.sum("n_files").alias("files"), F.sum("n_bytes").alias("bytes"), F.sum("n_lines").alias("lines"))
 
 
 def _scalar(name: str, table, key: str, text: str, **columns) -> None:

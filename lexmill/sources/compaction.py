@@ -6,46 +6,86 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.runtime import new_path
 
 _FRAME = b"\x28\xb5\x2f\xfd"  # a zstandard frame's first bytes
-_RECORD = "file_id BIGINT, dirname STRING, content STRING, _corrupt STRING"
+#: A whole record line once its strings are each a mark: an object of strings, numbers and words, closed where it ends.
+_WHOLE = r"^\s*\{\s*(?:s\s*:\s*(?:s|[-+.\w]+)\s*(?:,\s*(?=s)|(?=\})))*\}\s*$"
+#: The key of a record: a quote inside a text is escaped, so no text can show this.
+_KEY = r'(?<!\\)"file_id"\s*:\s*(-?\d+)\s*[,}]'
 
 
-def complete_lines(files: DataFrame) -> DataFrame:
-    """(``file_id``, ``line``, ``landed_at``, ``file_path``, ``line_no``): the complete record lines of all payloads.
+def _closed(line: Column) -> Column:
+    """Whether a line is a whole object, told by its quotes and braces: escaped characters go, then each string becomes a mark."""
+    bare = F.replace(F.replace(line, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    return F.regexp_replace(bare, '"[^"]*"', "s").rlike(_WHOLE)
 
-    A payload is cut at line feeds only, a carriage return before one goes. The last line counts if it is a whole
-    record although its line feed is missing; torn lines, blank lines and lines without ``file_id`` don't.
+
+def payload_lines(files: DataFrame, key: str = _KEY) -> DataFrame:
+    """(``file_path``, ``landed_at``, ``line_no``, ``raw``, ``line``, ``key``, ``kind``): the lines of all payloads, cut at line feeds.
+
+    ``kind``: blank; complete (closed by a line feed or a whole record without one); torn (what a transfer that broke
+    off has left, and lines without key). Lines aren't parsed: where a line ends is told by its boundary, a missing line
+    feed by the form of the bytes, and the key is picked from the bytes. A carriage return before a line feed isn't
+    part of a line.
     """
-    lines = files.select("landed_at", "file_path", F.posexplode(F.split("payload", "\n")).alias("line_no", "raw"))
-    lines = lines.select("landed_at", "file_path", "line_no", F.regexp_replace("raw", "\r$", "").alias("line")).where(F.trim("line") != "")
-    # Each line is parsed to tell whether it is whole; the bytes of a record are never written anew.
-    read = F.from_json("line", _RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    whole = lines.withColumn("_r", read).where(F.col("line").rlike(r"\}\s*$") & F.col("_r._corrupt").isNull() & F.col("_r.file_id").isNotNull())
-    return whole.select(F.col("_r.file_id").alias("file_id"), "line", "landed_at", "file_path", "line_no")
+    cut = files.select("landed_at", "file_path", F.posexplode(F.split("payload", "\n")).alias("line_no", "raw"), F.size(F.split("payload", "\n")).alias("_n"))
+    cut = cut.withColumn("line", F.regexp_replace("raw", "\r$", "")).withColumn("key", F.regexp_extract("line", key, 1).try_cast("bigint"))
+    # A break can be covered by a later line feed, so a line must close its object either way.
+    closed = _closed(F.col("line"))
+    kind = F.when(F.trim("line") == "", "blank").when(F.col("key").isNotNull() & closed, "complete").otherwise("torn")
+    return cut.select("file_path", "landed_at", "line_no", "raw", "line", "key", kind.alias("kind"), (F.col("line_no") < F.col("_n") - 1).alias("fed"))
+
+
+def _tally(line: str = "line") -> list:
+    return [F.count("*").alias("records"), F.coalesce(F.sum(F.octet_length(line)), F.lit(0)).alias("bytes"), F.coalesce(F.sum(F.crc32(line)), F.lit(0)).alias("checksum")]
+
+
+def source_tally(files: DataFrame) -> dict[str, int]:
+    """What the source files hold: files, bytes, files whose length isn't the one recorded, and lines and bytes by kind; the number of different keys and their checksum."""
+    whole = files.agg(
+        F.count("payload").alias("files"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("source_bytes"),
+        F.count(F.when(F.octet_length("payload") != F.col("n_bytes"), 1)).alias("wrong_length"),
+    ).first().asDict()
+    lines = payload_lines(files)
+    ends = F.octet_length("raw") - F.octet_length("line") + F.col("fed").cast("int")
+    n = lambda kind: F.count(F.when(F.col("kind") == kind, 1)).alias(f"{kind}_lines")
+    size = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.octet_length("line"))), F.lit(0)).alias(f"{kind}_bytes")
+    by_kind = lines.agg(*(f(k) for k in ("complete", "torn", "blank") for f in (n, size)), F.coalesce(F.sum(ends), F.lit(0)).alias("end_bytes")).first().asDict()
+    keys = lines.where("kind = 'complete'").select("key").distinct().agg(F.count("*").alias("keys"), F.coalesce(F.sum(F.crc32(F.col("key").cast("string"))), F.lit(0)).alias("key_checksum")).first().asDict()
+    return whole | by_kind | keys
 
 
 def consolidate(files: DataFrame, target_bytes: int = 128 << 20, path: str | None = None, header: str | None = None) -> tuple[str, DataFrame]:
     """Write every landed record once, in files of about ``target_bytes``; gives the folder and a row of validation.
 
-    The first landed copy of a ``file_id`` is kept, byte for byte, as one line; one shuffle by ``file_id`` both drops
-    repeated records and joins the lines of an output file, and repeats are cut before it (a group limit on each side
-    of the shuffle). ``header``: a line that every output file begins with. The validation row compares ``records``,
-    ``bytes`` and ``checksum`` (sum of the lines' CRC-32) of what went in with what is read back. Null and empty
-    payloads hold no record; files listed twice, sent again in part or torn are allowed; an empty table writes no record.
+    Payloads are joined as bytes at their line boundaries: no record is parsed or written anew. The first landed copy of
+    a key is kept, byte for byte, as one line; one shuffle by key both drops repeated records and joins the lines of an output
+    file, and repeats are cut before it (a group limit on each side of the shuffle). ``header``: a line that every output file
+    begins with.
+
+    The validation row is worked out from the source by itself and from what is read back. It is ``valid`` if the lines'
+    bytes by kind and the line ends add up to the source files' bytes, if the keys read back are those of the
+    source's complete lines, each once (number and checksum), and if the bytes and CRC-32 sums read back are those
+    that were written. ``wrong_length`` tells of source files whose length isn't the one recorded with them. Null and
+    empty payloads hold no record; files listed twice, sent again in part or torn are allowed; an empty table writes
+    no record.
     """
+    from pyspark.sql import Observation
+
     spark = files.sparkSession
     out = path or new_path(spark, "consolidated")
-    total = files.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
-    count = max(1, math.ceil(total / target_bytes))
-    order = Window.partitionBy("file_id").orderBy(F.col("landed_at").asc_nulls_last(), "file_path", "line_no")
-    once = complete_lines(files).repartition(count, "file_id").withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    lines = once.select("line")
-    tally = [F.count("*").alias("records"), F.coalesce(F.sum(F.octet_length("line")), F.lit(0)).alias("bytes"), F.coalesce(F.sum(F.crc32("line")), F.lit(0)).alias("checksum")]
+    source = source_tally(files)
+    count = max(1, math.ceil(source["complete_bytes"] / target_bytes))
+    order = Window.partitionBy("key").orderBy(F.col("landed_at").asc_nulls_last(), "file_path", "line_no")
+    complete = payload_lines(files).where("kind = 'complete'").select("key", "line", "landed_at", "file_path", "line_no")
+    lines = complete.repartition(count, "key").withColumn("_n", F.row_number().over(order)).where("_n = 1").select("line")
+    seen = Observation()
+    # Counted while it is written, so that nothing is read twice.
+    to_write = lines.observe(seen, *_tally())
     if header is not None:
 
         def with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -56,27 +96,21 @@ def consolidate(files: DataFrame, target_bytes: int = 128 << 20, path: str | Non
                     first = False
                 yield pdf
 
-        to_write = lines.mapInPandas(with_header, "line string")
-    else:
-        to_write = lines
-    from pyspark.sql import Observation
-
-    seen = Observation()
-    # Counted while it is written, so that nothing is read twice.
-    (to_write if header is not None else lines.observe(seen, *tally)).write.option("lineSep", "\n").text(out)
+        to_write = to_write.mapInPandas(with_header, "line string")
+    to_write.write.option("lineSep", "\n").text(out)
+    written = seen.get
     back = read_consolidated(spark, out)
     if header is not None:
         back = back.where(F.col("line") != header)
-        written = dict(zip(("records", "bytes", "checksum"), lines.agg(*tally).first()))
-    else:
-        written = seen.get
-    got = back.agg(*tally)
-    result = got.select(
-        "records", "bytes", "checksum",
-        ((F.col("records") == F.lit(written["records"])) & (F.col("bytes") == F.lit(written["bytes"])) & (F.col("checksum") == F.lit(written["checksum"]))).alias("valid"),
-        F.lit(count).alias("most_files"),
-    )
-    return out, result
+    key = F.regexp_extract("line", _KEY, 1).try_cast("bigint")
+    got = back.agg(*_tally(), F.coalesce(F.sum(F.crc32(key.cast("string"))), F.lit(0)).alias("_keys"))
+    balanced = source["source_bytes"] == source["complete_bytes"] + source["torn_bytes"] + source["blank_bytes"] + source["end_bytes"]
+    same = [F.col(c) == F.lit(written[c]) for c in ("records", "bytes", "checksum")] + [F.col("records") == F.lit(source["keys"]), F.col("_keys") == F.lit(source["key_checksum"]), F.lit(balanced)]
+    valid = same[0]
+    for more in same[1:]:
+        valid = valid & more
+    told = [F.lit(source[c]).cast("bigint").alias(c) for c in ("files", "source_bytes", "wrong_length", "complete_lines", "torn_lines", "torn_bytes", "blank_lines")]
+    return out, got.select("records", "bytes", "checksum", valid.alias("valid"), F.lit(count).alias("most_files"), *told)
 
 
 def read_consolidated(spark, path: str) -> DataFrame:
@@ -112,6 +146,42 @@ def join_frames(parts: list[bytes]) -> bytes:
     return bytes(out)
 
 
+def split_frames(frames: DataFrame, payload: str = "payload") -> DataFrame:
+    """What joined frames hold: adds ``n_bytes`` and ``n_lines`` of the contents, read as a stream, so that no content is held whole."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
+        import zstandard
+
+        for pdf in batches:
+            sizes, lines = [], []
+            for raw in pdf[payload].array:
+                size = count = 0
+                with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(bytes(raw)), read_across_frames=True) as stream:
+                    while piece := stream.read(1 << 20):
+                        size, count = size + len(piece), count + piece.count(b"\n")
+                sizes.append(size)
+                lines.append(count)
+            yield pdf.drop(columns=payload).assign(n_bytes=sizes, n_lines=lines)
+
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema.fields if f.name not in (payload, "n_bytes", "n_lines")]
+    chosen = frames.drop("n_bytes", "n_lines")
+    return chosen.mapInPandas(run, ", ".join([*kept, "n_bytes long", "n_lines long"]))
+
+
+def as_frames(files: DataFrame, payload: str = "payload") -> DataFrame:
+    """(``file_path``, ``payload``): each text payload as one zstandard frame; null and empty ones go."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zstandard
+
+        for pdf in batches:
+            yield pdf.assign(payload=[zstandard.ZstdCompressor().compress(t.encode("utf-8", "surrogatepass")) for t in pdf["payload"].array])
+
+    return files.where(F.length(payload) > 0).select("file_path", F.col(payload).alias("payload")).mapInPandas(run, "file_path string, payload binary")
+
+
 def join_frame_files(files: DataFrame, target_bytes: int = 128 << 20, payload: str = "payload") -> DataFrame:
     """Few rows of joined frames out of many small binary ones: (``bucket``, ``n_files``, ``n_bytes``, ``crc``, ``payload``).
 

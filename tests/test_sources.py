@@ -72,6 +72,7 @@ def test_consolidation(spark):
     path, check = compaction.consolidate(files, target_bytes=150_000)
     row = check.first()
     assert row.valid and row.records == 6
+    assert (row.files, row.complete_lines, row.torn_lines, row.wrong_length) == (9, 9, 2, 0) and row.source_bytes == sum(r.n_bytes for r in files.where("payload IS NOT NULL").collect())
     got = {r.file_id: r.content for r in compaction.consolidated_records(files).collect()}
     assert got == {1: "x", 2: "", 3: long, 4: "x", 6: "x", 7: "a b\x85\r"}
     raw = [r.line for r in compaction.read_consolidated(spark, path).collect()]
@@ -82,6 +83,20 @@ def test_consolidation(spark):
     assert check.first()["valid"] and spark.read.text(path).where("value = 'h'").count() == 1
 
 
+@pytest.mark.parametrize("raw, whole", [(line(1, 'a "b" \\ {"file_id": 7, }'), True), (line(2, 'x\\'), True), (line(3)[:-1], False), (line(4) + "x", False), ('{"file_id": 5, "content": "a', False), ('{"file_id": 5}', True), ('{"file_id": 5, }', False), ('{"x": 1}', False), ('{"file_id": 6, "content": null}', True)])
+def test_whole_lines(spark, raw, whole):
+    got = compaction.payload_lines(landed(spark, raw)).collect()
+    assert [r.kind for r in got] == ["complete" if whole else "torn"] and (not whole or got[0].key == json.loads(raw)["file_id"])
+
+
+def test_lost_records_are_noticed(spark):
+    files = landed(spark, line(1) + "\n" + line(2) + "\n")
+    path, _ = compaction.consolidate(files)
+    told = compaction.source_tally(files)
+    assert told["keys"] == 2 and told["source_bytes"] == told["complete_bytes"] + told["end_bytes"]
+    assert not compaction.consolidate(files.withColumn("n_bytes", F.lit(1).cast("long")))[1].first()["wrong_length"] == 0
+
+
 def test_one_record_sent_often(spark):
     files = landed(spark, *[line(1) + "\n" + line(k) + "\n" for k in range(2, 40)])
     assert compaction.consolidated_records(files).count() == 39
@@ -98,6 +113,8 @@ def test_frames(spark):
     with pytest.raises(ValueError):
         compaction.join_frames([b"text"])
     df = spark.createDataFrame([(f"p{k}", bytearray(p)) for k, p in enumerate(parts)] + [("q", None)], "file_path string, payload binary")
+    back = compaction.split_frames(compaction.join_frame_files(compaction.as_frames(landed(spark, "a\nb\n", "", None, "c")))).collect()
+    assert [(r.n_files, r.n_bytes, r.n_lines) for r in back] == [(2, 5, 2)]
     row = compaction.join_frame_files(df).collect()
     assert len(row) == 1 and row[0].n_files == 5 and zlib.crc32(bytes(row[0].payload)) == row[0].crc
 
