@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import heapq
-import math
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pandas as pd
 import regex
@@ -48,7 +48,7 @@ _SIGNS: tuple[tuple[regex.Pattern, float], ...] = tuple(
     )
 )
 _CAPITALS = regex.compile(r"(?<![\p{L}])[À-ÖØ-Þà-öø-ÿ×÷]{3,}(?![\p{L}])")
-#: From here on a text counts as garbled.
+#: A difference in cost that tells a garbled text from a sound one: a single trifling sign isn't enough.
 GARBLED = 2.0
 
 
@@ -182,40 +182,56 @@ def _priority(text: str) -> float:
     return cost(text) + 0.3 * len(_SHOUTED.findall(text)) + 0.01 * len(_NONASCII.findall(text)) + 0.02 * len(_ESCAPE.findall(text))
 
 
-def restore(text: str, depth: int = 5, most_states: int = 200) -> tuple[str, float, float, list[str]]:
-    """The cheapest text that conversions lead to, its cost, the cost of the text itself, and the way there.
+_LOST = regex.compile("�")
+#: What no conversion takes away: a lost character's cost. A conversion itself costs one.
+LOST_COST, STEP_COST = 5.0, 1.0
 
-    Best-first: the cheapest state not yet opened is opened next; states are known again by hash. The search ends when
-    the cheapest state is sound, nothing is left, or ``most_states`` states were opened.
+
+class Found(NamedTuple):
+    """Outcome of a search: the cheapest text, its cost, the cost of the text itself, the way, and whether the text is garbled."""
+
+    text: str
+    after: float
+    before: float
+    way: list[str]
+    garbled: bool
+
+
+def restore(text: str) -> Found:
+    """Search the texts that conversions lead to for the cheapest one, by plausibility and number of conversions.
+
+    Best-first: the cheapest state not yet opened is opened next; states are known again by hash. A state's cost is its
+    implausibility and ``STEP_COST`` for each conversion. No conversion brings back a lost character, so all that can follow a
+    state costs at least its lost characters and one conversion more; the search ends when that is no less than the best state
+    for every state that is left, so nothing cheaper is missed and no number of states is set. The text is garbled if the search
+    leads to another text that is cheaper by ``GARBLED`` or more, or if even the cheapest text that it reaches shows lost
+    characters or costs ``GARBLED`` or more.
     """
     plain = _unescape(text)
     before = max(cost(text), cost(plain))
-    if before < GARBLED:
-        return text, before, before, []
-    first = _priority(text)
-    heap: list[tuple[float, int, str, list[str]]] = [(first, 0, text, [])]
-    seen = {hash(text)}
-    best = (math.inf, text, [])
-    opened = 0
-    while heap and opened < most_states:
+    if before == 0.0:
+        return Found(text, 0.0, 0.0, [], False)
+
+    def real(state: str, steps: int) -> float:
+        """An escaped text costs what it stands for."""
+        return _priority(state) + (cost(_unescape(state)) if _ESCAPE.search(state) else 0.0) + STEP_COST * steps
+
+    heap: list[tuple[float, int, str, list[str]]] = [(real(text, 0), 0, text, [])]
+    seen = {text}
+    best = (heap[0][0], text, [])
+    while heap:
         value, _, state, way = heapq.heappop(heap)
-        opened += 1
-        # An escaped text costs what it stands for.
-        real = value + (cost(_unescape(state)) if _ESCAPE.search(state) else 0.0)
-        if real < best[0]:
-            best = (real, state, way)
-        if not _ESCAPE.search(state) and cost(state) == 0.0:
-            break
-        if len(way) >= depth:
+        if value < best[0]:
+            best = (value, state, way)
+        if LOST_COST * len(_LOST.findall(state)) + STEP_COST * (len(way) + 1) >= best[0]:
             continue
         for name, operation in OPERATIONS:
             after = operation(state)
-            key = hash(after)
-            if after == state or key in seen:
-                continue
-            seen.add(key)
-            heapq.heappush(heap, (_priority(after) + 1.0 * (len(way) + 1), len(seen), after, [*way, name]))
-    return best[1], cost(best[1]), before, best[2]
+            if after not in seen:
+                seen.add(after)
+                heapq.heappush(heap, (real(after, len(way) + 1), len(seen), after, [*way, name]))
+    left = max(cost(best[1]), cost(_unescape(best[1])))
+    return Found(best[1], left, before, best[2], before - left >= GARBLED or left >= GARBLED)
 
 
 SCHEMA = "id long, restored string, cost_before double, cost_after double, way string"
@@ -224,7 +240,7 @@ SCHEMA = "id long, restored string, cost_before double, cost_after double, way s
 def garbled(df: DataFrame, id_col: str = "file_id", text_col: str = "content") -> DataFrame:
     """(``id``, ``restored``, ``cost_before``, ``cost_after``, ``way``) for every row whose text, or part of it, is misread.
 
-    The scan drops pure ASCII without escapes before Python sees it. ``restored`` is the cheapest text found, which
+    The search decides (see restore). The scan drops pure ASCII without escapes before Python sees it. ``restored`` is the cheapest text found, which
     keeps what can't be restored (lost bytes) as it stands; ``cost_after`` above 0 says so. Null, empty and sound texts
     give no row, repeated rows a row each. No shuffle.
     """
@@ -233,9 +249,9 @@ def garbled(df: DataFrame, id_col: str = "file_id", text_col: str = "content") -
         for pdf in batches:
             out = []
             for i, text in zip(pdf["id"].to_numpy(), pdf["text"].array):
-                text, after, before, way = restore(text)
-                if before >= GARBLED:
-                    out.append((i, text, before, after, " > ".join(way)))
+                found = restore(text)
+                if found.garbled:
+                    out.append((i, found.text, found.before, found.after, " > ".join(found.way)))
             yield pd.DataFrame(out, columns=["id", "restored", "cost_before", "cost_after", "way"]).astype({"id": "int64", "cost_before": "float64", "cost_after": "float64"})
 
     beyond = F.col(text_col).rlike(r"[^\x00-\x7F]|\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}")

@@ -16,7 +16,7 @@ from lexmill.llm.components import components
 from lexmill.llm.vec import Codes, ascii_word_table, chunks, grams, mix
 from lexmill.runtime import discard, materialize
 
-#: A sketch has PARTS partitions of WIDTH min-hash values of 16 bits; all low bytes come first, then all high ones.
+#: A sketch has PARTS partitions of WIDTH min-hash values of 16 bits: first the lowest four bits of all, two values to a byte, then the next four, then the high bytes.
 PARTS, WIDTH = 24, 3
 _SEEDS = mix(np.arange(1, PARTS * WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 _BUCKETS = 1024
@@ -58,10 +58,12 @@ def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_word
                     continue
                 flat = np.concatenate([s for _, s in out])
                 starts = np.cumsum([0] + [len(s) for _, s in out])[:-1]
-                sketch = np.empty((len(out), 2 * PARTS * WIDTH), dtype=np.uint8)
+                values = np.empty((len(out), PARTS * WIDTH), dtype=np.uint16)
                 for j, seed in enumerate(_SEEDS):
-                    value = mix(np.minimum.reduceat(flat * seed, starts))
-                    sketch[:, j], sketch[:, PARTS * WIDTH + j] = value & np.uint64(255), (value >> np.uint64(8)) & np.uint64(255)
+                    values[:, j] = mix(np.minimum.reduceat(flat * seed, starts)) & np.uint64(0xFFFF)
+                half = PARTS * WIDTH // 2
+                fours = [(values >> shift) & 15 for shift in (0, 4)]
+                sketch = np.concatenate([*(f[:, :half] | f[:, half:] << 4 for f in fours), values >> 8], axis=1).astype(np.uint8)
                 yield pd.DataFrame({
                     "id": [i for i, _ in out], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for _, s in out], "n": [len(s) for _, s in out],
                     "sketch": [r.tobytes() for r in sketch], "shingles": [_upper_half(s) for _, s in out],
@@ -85,8 +87,10 @@ def _bytes(sketches, width: int) -> np.ndarray:
 
 def _matrix(sketches, order: list[int]) -> np.ndarray:
     """The min-hash values of some sketches, those of a partition side by side."""
-    both = _bytes(sketches, 2 * PARTS * WIDTH).astype(np.uint64)
-    return (both[:, : PARTS * WIDTH] | both[:, PARTS * WIDTH :] << np.uint64(8))[:, order]
+    raw, half = _bytes(sketches, 2 * PARTS * WIDTH), PARTS * WIDTH // 2
+    low, mid, high = raw[:, :half], raw[:, half : 2 * half], raw[:, 2 * half :]
+    fours = lambda x: np.concatenate([x & 15, x >> 4], axis=1).astype(np.uint64)
+    return (fours(low) | fours(mid) << np.uint64(4) | high.astype(np.uint64) << np.uint64(8))[:, order]
 
 
 def correlated_order(sketches: DataFrame) -> list[int]:
@@ -267,11 +271,11 @@ class NearDuplicates:
     Jaccard similarity of their whole sets; a shingle stands there as the upper 32 bits of its 64-bit hash, so a pair of
     sets of n shingles is misjudged with a chance of about n * n / 2**32 times that of lying within a shingle of the threshold.
 
-    Null texts and texts with fewer than ``min_words`` words have no class; ids are taken as unique (a repeated id
+    ``thresholds`` sets the partitions' thresholds from outside. Null texts and texts with fewer than ``min_words`` words have no class; ids are taken as unique (a repeated id
     counts once); an empty table gives empty tables.
     """
 
-    def __init__(self, df: DataFrame, id_col: str = "file_id", text_col: str = "content", words: int = 5, similarity: float = 0.8, min_words: int = 20, recall: float = 0.999) -> None:
+    def __init__(self, df: DataFrame, id_col: str = "file_id", text_col: str = "content", words: int = 5, similarity: float = 0.8, min_words: int = 20, recall: float = 0.999, thresholds: list[int] | None = None) -> None:
         self.rows = materialize(shingle_rows(df, id_col, text_col, words, min_words), "shingles")
         classes = self.rows.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
         several = materialize(classes.where("copies > 1").select("digest", "rep"), "classes")
@@ -282,7 +286,7 @@ class NearDuplicates:
         n = distinct.count()
         self.order = correlated_order(distinct)
         counts, hot = estimate_candidates(distinct, self.order, n)
-        self.thresholds = allocate(counts, n, similarity, recall)
+        self.thresholds = thresholds or allocate(counts, n, similarity, recall)
         raw, pairs = candidate_pairs(distinct, self.thresholds, self.order, hot)
         found = materialize(pairs, "candidates")
         discard(raw)
@@ -291,16 +295,18 @@ class NearDuplicates:
         self.links = self._verified(found, similarity)
 
     def _verified(self, found: DataFrame, similarity: float) -> DataFrame:
-        values = PARTS * WIDTH
-        least = values * similarity - 4.5 * math.sqrt(values * similarity * (1 - similarity))
+        # Four bits of a value also agree by chance, once in 16 times.
+        values, agree = PARTS * WIDTH, similarity + (1 - similarity) / 16
+        least = values * agree - 4.5 * math.sqrt(values * agree * (1 - agree))
 
         def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                same = (_bytes(pdf["sa"].array, values) == _bytes(pdf["sb"].array, values)).sum(axis=1)
+                differ = _bytes(pdf["sa"].array, values // 2) ^ _bytes(pdf["sb"].array, values // 2)
+                same = ((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1)
                 yield pdf.loc[same >= least, ["a", "b"]]
 
         side = lambda name, cols: self.rows.select(F.col("id").alias(name), *cols)
-        brief = F.substring("sketch", 1, values)  # the low bytes are enough to rule a pair out
+        brief = F.substring("sketch", 1, values // 2)  # the lowest bits are enough to rule a pair out
         sketched = found.join(side("a", [brief.alias("sa")]), "a").join(side("b", [brief.alias("sb")]), "b")
         kept = materialize(sketched.mapInPandas(near, "a long, b long"), "kept")
         discard(found)
@@ -339,7 +345,7 @@ class NearDuplicates:
         blocks = 16
         left = a.withColumn("_k", F.pmod(F.xxhash64("id_a"), F.lit(blocks)))
         right = b.select(F.col("b").alias("a"), "id_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_k"))
-        within = left.join(right, ["a", "_k"]).where("id_a < id_b").select(F.col("id_a").alias("x"), F.col("id_b").alias("y"))
+        within = left.hint("merge").join(right, ["a", "_k"]).where("id_a < id_b").select(F.col("id_a").alias("x"), F.col("id_b").alias("y"))
         return across.unionByName(within).select(F.least("x", "y").alias("file_id_a"), F.greatest("x", "y").alias("file_id_b"))
 
 

@@ -70,18 +70,39 @@ several AS (SELECT w FROM hashed GROUP BY w HAVING min(file_id) <> max(file_id))
 hit AS (SELECT file_id, s FROM hashed JOIN several USING (w))
 """
 
-P6_FOUND = r"""
-WITH rows AS (
+#: Ends of each edge, smallest first, and the smallest record that a record reaches.
+_REACH = """both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (SELECT a AS x, b AS y FROM both_ways UNION SELECT r.x, e.b FROM reach r JOIN both_ways e ON r.y = e.a),
+least_of AS (SELECT x, least(x, min(y)) AS least FROM reach GROUP BY x)"""
+
+P5_CLUSTERS = _WINDOWS.replace("WITH rows", "WITH RECURSIVE rows") + f""", firsts AS (SELECT w, min(file_id) AS f FROM hashed GROUP BY w HAVING min(file_id) <> max(file_id)),
+edges AS (SELECT DISTINCT file_id AS a, f AS b FROM hashed JOIN firsts USING (w)), {_REACH}
+SELECT x AS file_id, least AS cluster, x <> least AS removable FROM least_of"""
+
+_GRAMS = r"""
+WITH RECURSIVE rows AS (
   SELECT file_id, regexp_extract_all(lower(content), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
   FROM (SELECT file_id, content FROM split_db_foss_licenses UNION ALL SELECT file_id, content FROM ngramfiles) WHERE content IS NOT NULL),
 long AS (SELECT file_id, w FROM rows WHERE len(w) >= 20),
 grams AS (SELECT DISTINCT file_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT file_id, w, unnest(range(1, len(w) - 1)) AS i FROM long)),
-sizes AS (SELECT file_id, count(*) AS n FROM grams GROUP BY file_id),
+"""
+
+P6_FOUND = _GRAMS + """sizes AS (SELECT file_id, count(*) AS n FROM grams GROUP BY file_id),
 common AS (SELECT a.file_id AS x, b.file_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.file_id < b.file_id GROUP BY ALL)
 SELECT x AS file_id_a, y AS file_id_b FROM common JOIN sizes p ON p.file_id = x JOIN sizes q ON q.file_id = y
 WHERE c >= 0.6 * (p.n + q.n - c) - 1e-9
 """
 
+P6_GROUPS = _GRAMS + f"""keyed AS (SELECT file_id, string_agg(g, '|' ORDER BY g) AS k FROM grams GROUP BY file_id),
+cls AS (SELECT file_id, min(file_id) OVER (PARTITION BY k) AS rep, count(*) OVER (PARTITION BY k) AS copies FROM keyed),
+own AS (SELECT file_id, g FROM grams WHERE file_id IN (SELECT rep FROM cls)),
+sizes AS (SELECT file_id, count(*) AS n FROM own GROUP BY file_id),
+common AS (SELECT a.file_id AS x, b.file_id AS y, count(*) AS c FROM own a JOIN own b ON a.g = b.g AND a.file_id < b.file_id GROUP BY ALL),
+edges AS (SELECT x AS a, y AS b FROM common JOIN sizes p ON p.file_id = x JOIN sizes q ON q.file_id = y WHERE c >= 0.6 * (p.n + q.n - c) - 1e-9), {_REACH},
+degree AS (SELECT a AS rep, count(*) AS links FROM both_ways GROUP BY a)
+SELECT cls.file_id, rep AS class_id, coalesce(least, rep) AS group_id, copies, coalesce(links, 0) AS links FROM cls LEFT JOIN least_of ON x = rep LEFT JOIN degree USING (rep)
+"""
+
 P7_FOUND = r"""
 WITH words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
 asked AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
@@ -111,7 +132,9 @@ def oracle_sql() -> dict[str, str]:
         "p5_shares": _WINDOWS + """, laid AS (SELECT file_id, s, max(s + 160) OVER (PARTITION BY file_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM hit),
 covered AS (SELECT file_id, sum(160 - greatest(0, coalesce(e, 0) - s)) AS c FROM laid GROUP BY file_id)
 SELECT file_id, n::INT AS n_chars, coalesce(c, 0)::BIGINT AS shared_chars, CASE WHEN n > 0 THEN coalesce(c, 0)::DOUBLE / n ELSE 0.0 END AS share FROM rows LEFT JOIN covered USING (file_id)""",
+        "p5_clusters": P5_CLUSTERS,
         "p6_found": P6_FOUND,
+        "p6_groups": P6_GROUPS,
         "p7_found": P7_FOUND,
         "p8_found": P8_FOUND,
     }

@@ -60,6 +60,11 @@ def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
     return spans.SharedSpans(_files(spark, d)).clusters()
 
 
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Records tied by alike paragraphs, and which of them are removable."""
+    return spans.paragraph_clusters(spread(_files(spark, d)))
+
+
 def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
     rows = neardup.with_ngram_files(spread(_files(spark, d)), spread(read_table(spark, d, "ngramfiles")))
     return neardup.NearDuplicates(rows, words=3, similarity=0.6, min_words=20)
@@ -121,7 +126,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of this subpackage by name."""
     own = (
-        p1_found, p1_splits, p3_found, p3_restored, p4_found, p4_copies, p5_found, p5_shares, p5_clusters, p6_found, p6_groups,
+        p1_found, p1_splits, p3_found, p3_restored, p4_found, p4_copies, p5_found, p5_shares, p5_clusters, p5_paragraphs, p6_found, p6_groups,
         p7_found, p7_leaks, p8_found, p8_report, p8_mix, p9_found, p9_rates,
     )
     return {f.__name__: f for f in own}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm import neardup
 from lexmill.llm.components import components
 from lexmill.llm.vec import Codes, chunks
 from lexmill.runtime import discard, materialize
@@ -257,3 +259,38 @@ class SharedSpans:
         parts = components(edges, "rep", "to")
         least = parts.groupBy("component").agg(F.min("vertex").alias("cluster"))
         return parts.join(least, "component").select(F.col("vertex").alias("file_id"), "cluster", (F.col("vertex") != F.col("cluster")).alias("removable"))
+
+
+def tune_bands(similarity: float, recall: float) -> int:
+    """The fewest bands of WIDTH min-hash values that show a pair of that similarity with probability ``recall``; more than there are is an error."""
+    bands = math.ceil(math.log(1 - recall) / math.log(1 - similarity**neardup.WIDTH))
+    if bands > neardup.PARTS:
+        raise ValueError(f"{bands} bands are needed, a sketch has {neardup.PARTS}")
+    return bands
+
+
+def paragraph_clusters(df: DataFrame, id_col: str = "file_id", text_col: str = "content", words: int = 5, similarity: float = 0.8, min_words: int = 20, recall: float = 0.999) -> DataFrame:
+    """Removals by alike paragraphs: one row for each record that has a paragraph of ``min_words`` words or more.
+
+    Gives ``file_id``, ``paragraphs``, ``shared`` (those alike to a paragraph of another place), ``cluster`` (the smallest id of the records
+    tied by alike paragraphs) and ``removable``. Paragraphs are what stands between blank lines. Each has a sketch; bands are
+    tuned so that a pair just at ``similarity`` collides with probability ``recall``; paragraphs with the same set of shingles are one
+    class, colliding classes are joined, their exact Jaccard similarity is taken, and the components of records and classes
+    are the clusters. A paragraph that a third of all records hold is one class, so it is compared once. Null, empty and short texts have no
+    row; an empty table gives an empty table.
+    """
+    rows = df.select(F.col(id_col).cast("long").alias("file_id"), F.explode(F.split(F.col(text_col), r"\r?\n[ \t\r]*\n")).alias("text")).where("file_id IS NOT NULL AND length(text) > 0")
+    parts = materialize(rows.withColumn("pid", F.monotonically_increasing_id()), "paragraphs")
+    bands = tune_bands(similarity, recall)
+    near = neardup.NearDuplicates(parts, "pid", "text", words, similarity, min_words, thresholds=[0] * bands + [-1] * (neardup.PARTS - bands))
+    linked = near.links.select(F.explode(F.array("a", "b")).alias("rep")).distinct().withColumn("_linked", F.lit(True))
+    several = near.copies.select("rep").distinct().withColumn("_several", F.lit(True))
+    classes = near.members().join(parts.select(F.col("pid").alias("id"), "file_id"), "id").join(linked, "rep", "left").join(several, "rep", "left")
+    classes = materialize(classes.select("file_id", "rep", F.coalesce("_linked", "_several", F.lit(False)).alias("shared")), "members")
+    record, group = (lambda c: F.concat(F.lit("r"), F.col(c))), (lambda c: F.concat(F.lit("p"), F.col(c)))
+    edges = classes.where("shared").select(record("file_id").alias("src"), group("rep").alias("dst")).union(near.links.select(group("a"), group("b"))).distinct()
+    tied = components(edges).where(F.col("vertex").startswith("r")).select(F.substring("vertex", 2, 20).cast("long").alias("file_id"), "component")
+    named = tied.join(tied.groupBy("component").agg(F.min("file_id").alias("cluster")), "component").select("file_id", "cluster")
+    own = classes.groupBy("file_id").agg(F.count("*").alias("paragraphs"), F.sum(F.col("shared").cast("int")).alias("shared"))
+    out = own.join(named, "file_id", "left").select("file_id", "paragraphs", "shared", F.coalesce("cluster", "file_id").alias("cluster"))
+    return out.withColumn("removable", F.col("file_id") != F.col("cluster"))
