@@ -32,14 +32,16 @@ def cumulative_splits(df: DataFrame, text: str = "text", most: int | None = 1001
     """The growing concatenations of sentences: adds ``pos`` and ``fragment``.
 
     For each stride 1..n-1 the sentences 0, stride, 2*stride, .. n-stride are appended in turn, and what has been
-    gathered so far is a fragment each time. White space is collapsed. A text of one sentence gives none. ``most``
-    (the feature of this operator) stops after that many fragments of a text; None lifts it.
+    gathered so far is a fragment each time. White space is collapsed. An empty sentence adds nothing and gives no fragment of its own,
+    so the fragments of a text all differ. A text of one sentence gives none. ``most`` (the feature of this operator) stops
+    after that many fragments of a text; None lifts it.
     """
     units = df.where(F.col(text).isNotNull()).withColumn("_u", T.sentences(F.col(text))).withColumn("_n", F.size("_u")).where("_n >= 2")
     strides = F.transform(F.sequence(F.lit(1), F.col("_n") - 1), lambda c: F.sequence(F.lit(0), F.col("_n") - c, c))
-    order = F.flatten(strides) if most is None else F.slice(F.flatten(strides), 1, most)
+    filled = F.filter(F.flatten(strides), lambda i: F.element_at("_u", (i + 1).cast("int")) != "")
+    order = filled if most is None else F.slice(filled, 1, most)
     picked = units.withColumn("_o", F.transform(order, lambda i: F.element_at("_u", (i + 1).cast("int")))).drop("_u")
-    rows = picked.select(*df.columns, "_o", F.explode(F.sequence(F.lit(1), F.size("_o"))).alias("pos"))
+    rows = picked.where(F.size("_o") > 0).select(*df.columns, "_o", F.explode(F.sequence(F.lit(1), F.size("_o"))).alias("pos"))
     joined = T.strip(T.collapse(F.array_join(F.slice("_o", F.lit(1), F.col("pos")), " ")))
     return rows.select(*df.columns, "pos", joined.alias("fragment"))
 

@@ -10,19 +10,24 @@ from lexmill.operators.models import START
 from lexmill.runtime import materialize
 
 
+def _picked(u: Column) -> Column:
+    """The first of a state's successors whose running count exceeds the number drawn."""
+    return F.get(F.filter("_succ", lambda x: x["cum"] > u), F.lit(0))["token"]
+
+
 def generate_ngrams(model: DataFrame, states: DataFrame, label: str, n: int, length: int, cut_every: int = 6) -> DataFrame:
     """Walk an n-gram model: ``states`` (label, ``seed``) plus ``phrase`` of ``length`` tokens.
 
-    Each step joins all walks with the model on their contexts; the draw picks the token whose share of the running
-    count holds it (the last one if rounding leaves none). After a full stop the context starts anew. A walk whose
+    A context is one row with its successors and their running counts, so each step joins a walk with one row; the draw
+    picks the token whose share of the running count holds it. After a full stop the context starts anew. A walk whose
     context the model lacks ends. ``model``: as ngram_model gives it, for this n.
     """
-    own = model.where(F.col("n") == n).select(label, "context", "token", "cum", (F.col("cum") - F.col("cnt")).alias("_low"), "ctx_cnt")
+    own = model.where(F.col("n") == n).groupBy(label, "context").agg(F.array_sort(F.collect_list(F.struct("cum", "token"))).alias("_succ"), F.max("ctx_cnt").alias("ctx_cnt"))
     fresh = " ".join([START] * (n - 1))
     walk = states.select(label, "seed", F.lit(fresh).alias("context"), F.lit("").alias("phrase"))
     for step in range(length):
         u = F.floor(T.draw(F.col(label), F.col("seed"), step) * F.col("ctx_cnt"))
-        nxt = walk.join(own, [label, "context"]).where((u >= F.col("_low")) & (u < F.col("cum")))
+        nxt = walk.join(own, [label, "context"]).withColumn("token", _picked(u))
         parts = F.split("context", " ", -1)
         pushed = F.array_join(F.slice(F.concat(parts, F.array("token")), 2, n - 1), " ") if n > 1 else F.lit("")
         walk = nxt.select(label, "seed", F.when(F.col("token") == ".", fresh).otherwise(pushed).alias("context"), F.when(F.col("phrase") == "", F.col("token")).otherwise(F.concat_ws(" ", "phrase", "token")).alias("phrase"))
@@ -35,20 +40,21 @@ def generate_chain(chain: DataFrame, states: DataFrame, label: str, steps: int,
     """Walk a chain of words: ``states`` (label, ``seed``) plus ``phrase``.
 
     The first word is drawn from the label's first words by their counts; each step draws a successor; a word without
-    successors stays and adds nothing. ``chain``: as transitions gives it.
+    successors stays and adds nothing. A word is one row with its successors. ``chain``: as transitions gives it.
     """
-    cum = lambda *by: Window.partitionBy(label, *by).orderBy(*(["w1", "w2"] if not by else ["w2"])).rowsBetween(Window.unboundedPreceding, 0)
-    # The words of a label are pre-aggregated: the running total is over its vocabulary.
     heads = chain.groupBy(label, "w1").agg(F.sum("cnt").alias("cnt"))
-    over = Window.partitionBy(label).orderBy("w1").rowsBetween(Window.unboundedPreceding, 0)
-    first = heads.select(label, "w1", F.sum("cnt").over(over).alias("_c"), "cnt", F.sum("cnt").over(Window.partitionBy(label)).alias("_all"))
+
+    def listed(counts: DataFrame, by: list[str], token: str) -> DataFrame:
+        run = Window.partitionBy(*by).orderBy(token).rowsBetween(Window.unboundedPreceding, 0)
+        return counts.withColumn("cum", F.sum("cnt").over(run)).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("cum", F.col(token).alias("token")))).alias("_succ"), F.sum("cnt").alias("_all"))
+
     u0 = F.floor(T.draw(F.col(label), F.col("seed"), "first") * F.col("_all"))
-    walk = states.select(label, "seed").join(first, label).where((u0 >= F.col("_c") - F.col("cnt")) & (u0 < F.col("_c"))).select(label, "seed", F.col("w1").alias("word"), F.col("w1").alias("phrase"))
-    own = chain.select(label, F.col("w1").alias("word"), "w2", "cnt", F.sum("cnt").over(cum("w1")).alias("_c"), F.sum("cnt").over(Window.partitionBy(label, "w1")).alias("_all"))
+    walk = states.select(label, "seed").join(listed(heads, [label], "w1"), label).withColumn("word", _picked(u0)).select(label, "seed", "word", F.col("word").alias("phrase"))
+    own = listed(chain, [label, "w1"], "w2").withColumnRenamed("w1", "word")
     for step in range(steps):
         u = F.floor(T.draw(F.col(label), F.col("seed"), step) * F.col("_all"))
-        joined = walk.join(own, [label, "word"], "left").where(F.col("_all").isNull() | ((u >= F.col("_c") - F.col("cnt")) & (u < F.col("_c"))))
-        walk = joined.select(label, "seed", F.coalesce("w2", "word").alias("word"), F.when(F.col("w2").isNull(), F.col("phrase")).otherwise(F.concat(F.col("phrase"), F.lit(" "), F.coalesce("w2", F.lit("")))).alias("phrase"))
+        joined = walk.join(own, [label, "word"], "left").withColumn("_next", F.when(F.col("_all").isNotNull(), _picked(u)))
+        walk = joined.select(label, "seed", F.coalesce("_next", "word").alias("word"), F.when(F.col("_next").isNull(), F.col("phrase")).otherwise(F.concat(F.col("phrase"), F.lit(" "), F.col("_next"))).alias("phrase"))
         if step % cut_every == cut_every - 1 and step < steps - 1:
             walk = materialize(walk, "walk")
     return walk.select(label, "seed", "phrase")

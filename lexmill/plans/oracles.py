@@ -115,40 +115,51 @@ def _transitions(table: str, label: str) -> str:
 FROM (SELECT *, unnest(range(1, len(w))) AS i FROM (SELECT {label}, string_split(text, ' ') AS w FROM {table} WHERE text IS NOT NULL)) GROUP BY ALL"""
 
 
-def _draw(key: str) -> str:
-    return f"(('0x' || substring(md5({key}), 1, 8))::BIGINT::DOUBLE / 4294967296.0)"
+_M = "18446744073709551616::UHUGEINT"
 
 
-def _generated(n: int) -> str:
-    fresh = " ".join(["<START>"] * (n - 1))
-    pushed = f"array_to_string(list_concat(string_split(w.context, ' ')[2:], [m.token]), ' ')"
-    return f"""walk{n} AS (
-  SELECT source, seed, '{fresh}' AS context, '' AS phrase, 0 AS step FROM seeds
-  UNION ALL
-  SELECT w.source, w.seed, CASE WHEN m.token = '.' THEN '{fresh}' ELSE {pushed} END,
-    CASE WHEN w.phrase = '' THEN m.token ELSE w.phrase || ' ' || m.token END, w.step + 1
-  FROM walk{n} w JOIN model{n} m ON m.source = w.source AND m.context = w.context
-    AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.ctx_cnt) >= m.cum - m.cnt AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.ctx_cnt) < m.cum
-  WHERE w.step < 12)"""
+def _numbers(rows: str, step: str, out: str) -> str:
+    """``rows`` with a number in [0, 1) by its base ``b``, ``seed`` and ``step``: 64-bit arithmetic in wider integers."""
+    first = f"SELECT *, (b + (seed * 64 + {step})::UHUGEINT * 11400714819323198485::UHUGEINT) % {_M} AS z0 FROM ({rows})"
+    second = f"SELECT *, (xor(z0, z0 >> 30) * 13787848793156543929::UHUGEINT) % {_M} AS z1 FROM ({first})"
+    third = f"SELECT *, (xor(z1, z1 >> 27) * 10723151780598845931::UHUGEINT) % {_M} AS z2 FROM ({second})"
+    return f"SELECT * EXCLUDE (z0, z1, z2), (xor(z2, z2 >> 31) >> 11)::DOUBLE / 9007199254740992.0 AS {out} FROM ({third})"
+
+
+_TEXTS = """texts AS MATERIALIZED (SELECT row_number() OVER () AS rid, license, source, text, length(text) - 1 AS seeds,
+  md5(concat_ws('|', coalesce(license, ''), coalesce(source, ''), text)) AS key FROM licenses WHERE length(text) > 1)"""
+_FRESH = "array_to_string(list_transform(range(n - 1), lambda i: '<START>'), ' ')"
+
 
+def _base_of(rest: str) -> str:
+    return f"('0x' || substring(md5(key || '|' || {rest}), 1, 16))::UBIGINT::UHUGEINT AS b"
 
-def _walks(*orders: int) -> str:
-    models = ", ".join(f"model{n} AS MATERIALIZED ({_model('licenses', n, 'source')})" for n in orders)
-    return f"WITH RECURSIVE seeds AS (SELECT source, unnest(range(1, 21)) AS seed FROM (SELECT DISTINCT source FROM licenses WHERE source IS NOT NULL)), {models}, " + ", ".join(map(_generated, orders))
 
+_NGRAM_WALKS = f"""WITH RECURSIVE {_TEXTS},
+toks AS (SELECT rid, {_tokens('s')} AS k FROM (SELECT rid, unnest(list_transform(string_split(text, '.'), lambda x: x || '.')) AS s FROM texts)),
+grams AS (SELECT rid, n, array_to_string(p[i:i + n - 2], ' ') AS context, p[i + n - 1] AS token FROM (
+  SELECT *, unnest(range(1, len(p) - n + 2)) AS i FROM (SELECT rid, n, list_concat(list_transform(range(n - 1), lambda i: '<START>'), k) AS p FROM toks, (SELECT unnest(range(2, 8)) AS n)))),
+model AS MATERIALIZED (SELECT rid, n, context, list(token ORDER BY token) AS succ FROM grams GROUP BY ALL),
+begun AS ({_numbers(f"SELECT rid, n, b, unnest(range(1, seeds + 1)) AS seed FROM (SELECT *, {_base_of("n || '|6'")} FROM texts, (SELECT unnest(range(2, 8)) AS n))", "63", "u")}),
+walk AS (
+  SELECT rid, n, seed, b, 6 + floor(u * 25)::INT AS many, {_FRESH} AS context, '' AS phrase, 0 AS step FROM begun
+  UNION ALL
+  SELECT rid, n, seed, b, many, CASE WHEN tok = '.' THEN {_FRESH} ELSE array_to_string(list_concat(string_split(context, ' ')[2:], [tok]), ' ') END,
+    CASE WHEN step = 0 THEN tok ELSE phrase || ' ' || tok END, step + 1
+  FROM (SELECT w.*, m.succ[1 + floor(w.u * len(m.succ))::INT] AS tok FROM ({_numbers("SELECT * FROM walk WHERE step < many", "step", "u")}) w JOIN model m ON m.rid = w.rid AND m.n = w.n AND m.context = w.context)),
+made AS (SELECT license, source, n::INT AS n, seed::INT AS seed, phrase FROM walk JOIN texts USING (rid) WHERE step = many)
+"""
 
-_CHAIN_WALK = f"""WITH RECURSIVE seeds AS (SELECT source, unnest(range(1, 21)) AS seed FROM (SELECT DISTINCT source FROM licenses WHERE source IS NOT NULL)),
-chain AS MATERIALIZED (SELECT *, (sum(cnt) OVER (PARTITION BY source, w1 ORDER BY w2 ROWS UNBOUNDED PRECEDING))::BIGINT AS c, (sum(cnt) OVER (PARTITION BY source, w1))::BIGINT AS every FROM ({_transitions('licenses', 'source')})),
-heads AS (SELECT source, w1, cnt, (sum(cnt) OVER (PARTITION BY source ORDER BY w1 ROWS UNBOUNDED PRECEDING))::BIGINT AS c, (sum(cnt) OVER (PARTITION BY source))::BIGINT AS every FROM (SELECT source, w1, sum(cnt)::BIGINT AS cnt FROM chain GROUP BY ALL)),
+_CHAIN_WALKS = f"""WITH RECURSIVE {_TEXTS},
+worded AS (SELECT rid, list_transform(string_split({_no_digits('text')}, ' '), lambda w: {_chain('w')}) AS w1, list_transform(string_split(text, ' '), lambda w: {_chain('w')}) AS w2 FROM texts),
+chain AS MATERIALIZED (SELECT rid, w1[i] AS word, list(w2[i + 1] ORDER BY i) AS succ FROM (SELECT *, unnest(range(1, len(w1))) AS i FROM worded) GROUP BY ALL),
+begun AS ({_numbers(_numbers(f"SELECT rid, b, unnest(range(1, seeds + 1)) AS seed FROM (SELECT *, {_base_of("'chain'")} FROM texts)", "63", "u"), "62", "v")}),
 walk AS (
-  SELECT s.source, s.seed, h.w1 AS word, h.w1 AS phrase, 0 AS step FROM seeds s JOIN heads h ON h.source = s.source
-    AND floor({_draw("s.source || '|' || s.seed || '|first'")} * h.every) >= h.c - h.cnt AND floor({_draw("s.source || '|' || s.seed || '|first'")} * h.every) < h.c
+  SELECT rid, seed, b, floor(u * 32)::INT - 1 AS steps, w1[1 + floor(v * len(w1))::INT] AS word, w1[1 + floor(v * len(w1))::INT] AS phrase, 0 AS step FROM begun JOIN worded USING (rid)
   UNION ALL
-  SELECT w.source, w.seed, coalesce(m.w2, w.word), CASE WHEN m.w2 IS NULL THEN w.phrase ELSE w.phrase || ' ' || m.w2 END, w.step + 1
-  FROM walk w LEFT JOIN chain m ON m.source = w.source AND m.w1 = w.word
-    AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.every) >= m.c - m.cnt AND floor({_draw("w.source || '|' || w.seed || '|' || w.step")} * m.every) < m.c
-  WHERE w.step < 12)
-SELECT source, seed::INT AS seed, phrase FROM walk WHERE step = 12"""
+  SELECT rid, seed, b, steps, nxt, phrase || ' ' || nxt, step + 1
+  FROM (SELECT w.*, c.succ[1 + floor(w.u * len(c.succ))::INT] AS nxt FROM ({_numbers("SELECT * FROM walk WHERE step < steps", "step", "u")}) w JOIN chain c ON c.rid = w.rid AND c.word = w.word))
+SELECT license, source, seed::INT AS seed, phrase FROM (SELECT rid, seed, arg_max(phrase, step) AS phrase FROM walk GROUP BY ALL) JOIN texts USING (rid)"""
 
 _MARK_OF = _case("rx", lambda k, m: f"'{m}'", "NULL")
 _PARTS = f"""SELECT regex_id, CASE WHEN mark IS NULL THEN rx ELSE substring(rx, 1, instr(rx, mark) - 1) END AS prefix,
@@ -156,8 +167,6 @@ CASE WHEN rx IS NULL THEN NULL WHEN mark IS NULL THEN '' ELSE substring(rx, inst
 CASE WHEN rx IS NULL THEN NULL WHEN mark IS NULL THEN '' ELSE string_split(rx, mark)[-1] END AS last_suffix
 FROM (SELECT *, {_MARK_OF} AS mark FROM (SELECT regex_id, {_unquote('regex')} AS rx FROM spdxregex))"""
 
-_EXPANSIONS = f"(SELECT DISTINCT licenses AS label, {_erase(_unquote('regex'))} AS expansion FROM spdxregex WHERE licenses IS NOT NULL AND {_erase(_unquote('regex'))} <> '')"
-
 #: Entries of the catalogues that the queries write, straight from the table.
 _ENTRIES = f"""SELECT lower(split_part(licenses, '-', 1)) AS doc, regex_id * 20 + 2 AS line, fam || lic AS entry_id, trim(fam, '_') AS family, lic AS license,
 CASE WHEN nocheck THEN NULL ELSE 'terms' END AS key_regex, {_unquote("coalesce(regex, '')")} AS str_regex, coalesce(nocheck, FALSE) AS nocheck, regex_id % 5 = 0 AS optional_str, licenses AS aliases
@@ -196,7 +205,6 @@ SELECT (SELECT count(*) FROM once) AS records, (SELECT sum(b)::BIGINT FROM once)
 def oracle_sql() -> dict[str, str]:
     """SQL by query."""
     lines = f"string_split({_newlines('text')}, chr(10))"
-    times = f"(SELECT regex_id, 1 + floor({_draw('k')} * 4)::INT AS t, prefix AS p, suffix AS s FROM (SELECT *, regex_id || '|times' AS k FROM ({_PARTS}) WHERE prefix || suffix <> '' OR TRUE))"
     return {
         "p2_found": P2_FOUND,
         "p2_validation": P2_VALIDATION,
@@ -225,7 +233,7 @@ def oracle_sql() -> dict[str, str]:
         "sliding_windows": f"SELECT license, source, width, start_at, fragment FROM ({_windows()})",
         "paragraph_windows": f"SELECT license, source, width, start_at, fragment FROM ({_windows(units=_paragraphs('text'), sep='chr(10) || chr(10)')})",
         "cumulative_splits": f"""SELECT file_id, pos::INT AS pos, {_strip(_collapse("array_to_string(list_transform(o[1:pos], lambda k: u[k + 1]), ' ')"))} AS fragment
-FROM (SELECT *, unnest(range(1, len(o) + 1)) AS pos FROM (SELECT file_id, u, flatten(list_transform(range(1, len(u)), lambda c: range(0, len(u) - c + 1, c)))[1:1001] AS o
+FROM (SELECT *, unnest(range(1, len(o) + 1)) AS pos FROM (SELECT file_id, u, list_filter(flatten(list_transform(range(1, len(u)), lambda c: range(0, len(u) - c + 1, c))), lambda i: u[i + 1] <> '')[1:1001] AS o
 FROM (SELECT file_id, {_sentences('content')} AS u FROM split_db_foss_licenses WHERE content IS NOT NULL) WHERE len(u) >= 2))""",
         "fragments_all": _FRAGMENTS,
         "fragment_distinct": f"SELECT DISTINCT license, fragment FROM ({_FRAGMENTS})",
@@ -243,11 +251,9 @@ SELECT license, fragment, min(kind) AS kind, min(coalesce(width, 0)) AS width, m
 asked AS (SELECT DISTINCT context, token FROM ({_grams("(SELECT 'all' AS lab, content FROM ngramfiles)", 2, 'lab', 'content')}))
 SELECT context, token, coalesce(prob, 0.0) AS prob FROM asked LEFT JOIN m USING (context, token)""",
         "markov_transitions": _transitions("documents", "source"),
-        "ngram_generate": _walks(2) + " SELECT source, seed::INT AS seed, phrase FROM walk2 WHERE step = 12",
-        "markov_generate": _CHAIN_WALK,
-        "phrase_pool": _walks(2, 3) + f" SELECT DISTINCT source, phrase FROM (SELECT source, lower({_clean('phrase')}) AS phrase FROM (SELECT source, phrase FROM walk2 WHERE step = 12 UNION ALL SELECT source, phrase FROM walk3 WHERE step = 12)) WHERE phrase <> ''",
-        "assemble_expansions": f"""SELECT regex_id, {_erase("p || ' ' || repeat('some phrase (and|or) ', t) || ' ' || s")} AS ngram_style, {_erase("p || repeat('some phrase ', t) || s")} AS chain_style
-FROM {times} JOIN (SELECT regex_id FROM spdxregex WHERE {_strip('regex')} <> '') USING (regex_id)""",
+        "ngram_generate": _NGRAM_WALKS + "SELECT * FROM made",
+        "markov_generate": _CHAIN_WALKS,
+        "phrase_pool": _NGRAM_WALKS + f"SELECT DISTINCT license, source, phrase FROM (SELECT license, source, lower({_clean('phrase')}) AS phrase FROM made) WHERE phrase <> ''",
         "lookup_exact": """SELECT file_id, coalesce(r.regex, '') AS regex FROM split_db_foss_licenses f LEFT JOIN (
 SELECT licenses, arg_min(coalesce(regex, ''), regex_id) AS regex FROM spdxregex WHERE licenses IS NOT NULL GROUP BY licenses) r ON r.licenses = f.dirname""",
         "lookup_contains": "SELECT key, regex_id FROM (SELECT DISTINCT license AS key FROM licenses WHERE license <> '') JOIN spdxregex ON regexp_matches(licenses, key)",
@@ -264,9 +270,9 @@ SELECT doc_id, coalesce(n, 0) AS score FROM documents LEFT JOIN (SELECT id AS do
         "sig_scan": f"""SELECT DISTINCT file_id, regex_id FROM (SELECT file_id, {_scan('content')} AS t FROM (SELECT file_id, content FROM split_db_foss_licenses UNION ALL SELECT file_id, content FROM ngramfiles) WHERE content IS NOT NULL)
 JOIN (SELECT regex_id, {_strip(_collapse(_all(_expand(_unquote('regex')), r'([\p{L}])-([\p{L}])', r'\1 \2')))} AS rx FROM spdxregex) ON rx <> '' AND regexp_matches(t, '(?i)' || rx)""",
         "union_regexes": f"WITH r AS (SELECT licenses, {_unquote('regex')} AS regex FROM spdxregex WHERE licenses IS NOT NULL AND trim(regex) <> '') SELECT * FROM r UNION ALL SELECT licenses, {_expand('regex')} FROM r",
-        "augment_fragment": f"SELECT file_id, content || '.' || expansion AS augmented FROM split_db_foss_licenses JOIN {_EXPANSIONS} e ON e.label = dirname WHERE content <> ''",
-        "augment_cross": f"""SELECT license, source, (i - 1)::INT AS pos, u[i] || ' ' || expansion AS augmented FROM (SELECT *, unnest(range(1, len(u) + 1)) AS i FROM (
-SELECT license, source, {_paragraphs('text')} AS u FROM licenses WHERE text IS NOT NULL AND license IS NOT NULL)) JOIN {_EXPANSIONS} e ON e.label = license""",
+        "regex_language": f"""SELECT regex_id, unnest(CASE WHEN contains(rx, 'licen[cs]e') THEN [replace(rx, 'licen[cs]e', 'license'), replace(rx, 'licen[cs]e', 'licence')] WHEN rx LIKE '%notices?' THEN [rx[:-3], rx[:-2]]
+WHEN rx LIKE '%terms?' THEN [rx[:-3], rx[:-2]] WHEN contains(rx, '(grant|gift)') THEN [replace(rx, '(grant|gift)', 'grant'), replace(rx, '(grant|gift)', 'gift')] ELSE [rx] END) AS expansion
+FROM (SELECT regex_id, {_unquote('regex')} AS rx FROM spdxregex) WHERE rx <> '' AND {_case('rx', lambda k, m: "FALSE", "TRUE")}""",
         "label_counts": "SELECT dirname, count(*) AS count FROM split_db_foss_licenses GROUP BY dirname",
         "label_collisions": "SELECT content, count(DISTINCT dirname) AS labels, count(*) AS rows FROM split_db_foss_licenses WHERE content IS NOT NULL GROUP BY content HAVING count(DISTINCT dirname) > 1",
         "chunk_assign": "SELECT doc_id, rn, ((rn * 6) // n)::INT AS chunk FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS rn, count(*) OVER () AS n FROM documents)",

@@ -387,6 +387,13 @@ def regex_sample(spark, d):
     return sampling.sample_regexes(r, "regex").select("regex_id", "rank", "expansion")
 
 
+@query
+def regex_language(spark, d):
+    """All strings of the regexes without wildcards: their languages are finite and small."""
+    r = rules(spark, d).select("regex_id", T.unquote(F.col("regex")).alias("regex")).where((F.col("regex") != "") & (T.wildcard_kind(F.col("regex")) == "none"))
+    return sampling.sample_regexes(r, "regex").select("regex_id", "expansion")
+
+
 @query
 def label_counts(spark, d):
     """Files by label."""

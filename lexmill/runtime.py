@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -43,21 +44,29 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize(df: DataFrame, label: str = "table", compact: bool = True) -> DataFrame:
+def materialize(df: DataFrame, label: str = "table", compact: bool = True, counted: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut, and a lost executor costs nothing.
 
-    With ``compact=False`` neither compression nor dictionaries are used, so that the files' size, by which a join
+    ``counted``: the rows are counted as they are written; ``known_rows`` tells how many, without a job of its own. With ``compact=False`` neither compression nor dictionaries are used, so that the files' size, by which a join
     decides on a broadcast, says how large the rows are in memory.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
     plain = {"compression": "uncompressed", "parquet.enable.dictionary": "false"}
-    df.write.options(**({"compression": "zstd"} if compact else plain)).parquet(path)
+    seen = Observation() if counted else None
+    to_write = df.observe(seen, F.count(F.lit(1)).alias("rows")) if counted else df
+    to_write.write.options(**({"compression": "zstd"} if compact else plain)).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lexmill_path = path
+    out._lexmill_rows = seen.get["rows"] if counted else None
     return out
 
 
+def known_rows(df: DataFrame) -> int:
+    """Rows of a table that materialize counted."""
+    return df._lexmill_rows
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores if it is read in fewer partitions than that, as one small file is; else as it is.
 

@@ -38,6 +38,8 @@ def test_cumulative_splits(spark):
     assert fr.cumulative_splits(docs(spark, "only", None, "")).count() == 0
     assert fr.cumulative_splits(docs(spark, ". ".join("ab" for _ in range(300)))).count() == 1001
     assert fr.cumulative_splits(docs(spark, "a. b. c"), most=2).count() == 2
+    assert [r.fragment for r in fr.cumulative_splits(docs(spark, ". a. . b")).orderBy("pos").collect()] == ["a", "a b"]
+    assert fr.cumulative_splits(docs(spark, ". . ", ". . . ")).count() == 0
 
 
 def test_fragments_and_numbers(spark):
@@ -104,6 +106,7 @@ def test_lookups(spark):
     wide = spark.createDataFrame([("LGPL-2",), ("abccd",), ("xy",), ("C++-1.0",), (None,), ("MIT",)], "lic string")
     pairs = {(r.key, r.lic) for r in lab.lookup_all(keys, wide, "key", "lic").collect()}
     assert pairs == {("GPL", "LGPL-2"), ("x", "xy"), ("C++-1", "C++-1.0")}
+    assert {(r.key, r.lic) for r in lab.lookup_all(keys, wide, "key", "lic", block=1).collect()} == pairs
     pairs = {(r.key, r.lic) for r in lab.lookup_all(keys.where("key <> 'C++-1'"), wide, "key", "lic", literal=False).collect()}
     assert pairs == {("GPL", "LGPL-2"), ("x", "xy"), ("a.c+", "abccd"), ("(MI|BS)T", "MIT")}
 
