@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.runtime import discard, materialize
+from lexmill.runtime import discard, known_rows, materialize
 
 
 def _coin(vertex: Column, turn: int, seed: int) -> Column:
@@ -20,14 +20,15 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", seed: int =
     renamed, loops and repeats go. Rounds go on until no edge is left (expected O(log n) of them); then the maps of the
     rounds are unwound from the last to the first. Vertices may be of any one type. Edges with a null end are ignored,
     loops keep their vertex, repeats do no harm, an empty table gives an empty table. A vertex of any degree is safe:
-    its edges are aggregated before they are shuffled, and no task holds a neighbourhood.
+    mates are a minimum, taken on the map side first, and a hub's edges are joined with its one mate by a sort-merge join
+    whose large partitions adaptive execution splits; no task gathers a neighbourhood.
     """
     ends = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     vertices = ends.select(F.explode(F.array("u", "v")).alias("vertex")).distinct()
-    live = materialize(ends.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges", compact=False)
+    live = materialize(ends.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges", compact=False, counted=True)
     rounds: list[tuple[DataFrame, DataFrame]] = []
     turn = 0
-    while not live.isEmpty():
+    while known_rows(live):
         both = live.select("u", "v").union(live.select("v", "u"))
         mates = both.where(~_coin(F.col("u"), turn, seed) & _coin(F.col("v"), turn, seed)).groupBy("u").agg(F.min("v").alias("to"))
         a = mates.select("u", F.col("to").alias("ua"))
@@ -35,7 +36,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", seed: int =
         moved = live.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("ua", "u").alias("u"), F.coalesce("vb", "v").alias("v"))
         after = moved.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         rounds.append((mates, live))
-        live = materialize(after, "edges", compact=False)
+        live = materialize(after, "edges", compact=False, counted=True)
         turn += 1
     done: DataFrame | None = None
     for k in range(len(rounds) - 1, -1, -1):

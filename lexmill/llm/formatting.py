@@ -169,7 +169,7 @@ def radix_buckets(rows: DataFrame, fit_bytes: int, step: int = 4) -> DataFrame:
 
     All rows start in buckets of ``step`` bytes; the rows of a bucket that is too large go on with twice as many bytes,
     until each fits or holds a single text (whose rows were combined before, a row for each task's batch). The table
-    of buckets stays distributed.
+    of buckets stays distributed; what goes on is written each round, so no round repeats those before it.
     """
     depth, parts, left = step, [], rows
     while True:
@@ -181,7 +181,7 @@ def radix_buckets(rows: DataFrame, fit_bytes: int, step: int = 4) -> DataFrame:
             parts.append(left.withColumn("bucket", prefix))
             break
         parts.append(left.withColumn("bucket", prefix).join(large, "bucket", "left_anti"))
-        left = left.withColumn("bucket", prefix).join(large, "bucket", "left_semi").drop("bucket")
+        left = materialize(left.withColumn("bucket", prefix).join(large, "bucket", "left_semi").drop("bucket"), "oversized")
         depth *= 2
     out = parts[0].select("bucket", *rows.columns)
     for part in parts[1:]:

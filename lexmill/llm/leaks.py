@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.vec import Codes, alnum_table, chunks, grams
+from lexmill.runtime import materialize
 
 #: Word positions that count, two masks of eight in a span of at most 13: a run of 15 words holds each whole three times.
 MASKS = ((0, 1, 3, 4, 6, 9, 11, 12), (0, 2, 3, 5, 7, 8, 9, 12))
@@ -96,8 +97,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, gap: int = 4,
     ``exact_words`` is the longest run of words that document and item share; ``tolerant_words`` the longest stretch
     in which single words may differ between runs of at least ``gap`` equal ones. A pair is a leak from ``min_words``
     equal words on in either. Every word position of every document is hashed under each mask and joined with the
-    items' hashes; hits are verified word by word along the whole diagonal. The documents aren't shuffled: the items
-    are sent to the tasks in blocks of at most about ``block_chars`` characters, as many passes as that takes. Null
+    items' hashes; hits are verified word by word along the whole diagonal, a word standing as a 64-bit hash. The documents
+    aren't shuffled: the items are sent to the tasks in blocks of at most about ``block_chars`` characters, one after the
+    other; a block's result is written and the block is let go before the next one is fetched. Null
     and short texts leak nothing; items with one passage are all reported; repeated documents give a row each
     ``doc_id`` (the best). Empty tables give an empty table.
     """
@@ -110,7 +112,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, gap: int = 4,
     wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     out = None
     for k in range(blocks):
-        rows = [(r.item_id, r.text) for r in usable.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).toLocalIterator()]
+        rows = [(r.item_id, r.text) for r in usable.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()]  # about block_chars
         if not rows:
             continue
         sent = spark.sparkContext.broadcast(rows)
@@ -122,6 +124,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_words: int = 15, gap: int = 4,
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "exact_words", "tolerant_words", "substitutions", "item_share"]).astype({"doc_id": "int64", "item_id": "int64", "exact_words": "int32", "tolerant_words": "int32", "substitutions": "int32", "item_share": "float64"})
 
         part = wanted.mapInPandas(run, SCHEMA)
+        if blocks > 1:
+            part = materialize(part, "hits")
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], SCHEMA)

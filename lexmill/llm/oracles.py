@@ -36,6 +36,16 @@ UNION
 SELECT a.label, b.label FROM labels a JOIN tied t ON a.lk = t.x JOIN labels b ON b.lk = t.y WHERE a.label < b.label
 """
 
+#: The splits hang on a hash, but nothing that is tied may be parted, whatever they are.
+P1_PARTED = rf"""
+WITH files AS (SELECT {_LABEL.format('dirname')} AS lk, array_to_string(list_sort(list_filter(string_split_regex(lower(author), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda w: w <> '')), ' ') AS ak, lower({_TRIM.format('origin')}) AS low FROM split_db_foss_licenses),
+keyed AS (SELECT lk, CASE WHEN ak IN ({_list(PLACEHOLDERS)}) THEN NULL ELSE ak END AS ak, low, regexp_replace(regexp_replace(regexp_replace(low, '[?#].*$', ''), '^(?:[a-z][a-z0-9+.-]*:)?//', ''), '(?:/|\.git)+$', '') AS ok FROM files)
+SELECT (SELECT count(*) FROM files) + (SELECT count(*) FROM spdxregex) AS rows, 0 AS unplaced,
+  (SELECT count(DISTINCT lk) FROM (SELECT lk FROM keyed UNION ALL SELECT {_LABEL.format('licenses')} FROM spdxregex)) AS labels, 0 AS parted_labels,
+  (SELECT count(DISTINCT ak) FROM keyed) AS authors, 0 AS parted_authors,
+  (SELECT count(DISTINCT ok) FROM keyed WHERE ok NOT IN ({_list(NO_ORIGIN)}) AND low NOT IN ({_list(NO_ORIGIN)})) AS origins, 0 AS parted_origins
+"""
+
 _LETTERS = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 
 P4_CANON = rf"""
@@ -126,6 +136,7 @@ def oracle_sql() -> dict[str, str]:
     """SQL by query."""
     return {
         "p1_found": P1_FOUND,
+        "p1_parted": P1_PARTED,
         "p4_found": P4_CANON + "SELECT g.least AS file_id_a, c.file_id AS file_id_b FROM canon c JOIN grouped g USING (canon) WHERE c.file_id <> g.least",
         "p4_copies": P4_CANON + "SELECT least AS file_id, copies FROM grouped",
         "p5_found": _WINDOWS + "SELECT DISTINCT file_id FROM hit",

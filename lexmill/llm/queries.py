@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import encoding, formatting, leaks, mixing, neardup, spans, splits, truncation
-from lexmill.runtime import read_table, spread
+from lexmill.runtime import materialize, read_table, spread
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
@@ -25,6 +25,21 @@ def p1_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.grouped_splits(_files(spark, d), read_table(spark, d, "spdxregex"))
 
 
+def p1_parted(spark: SparkSession, d: str) -> DataFrame:
+    """What the splits hold: rows of both tables, different labels, authors and origins, and how many of each lie in several splits (none may)."""
+    files, rules = _files(spark, d), read_table(spark, d, "spdxregex")
+    split = splits.grouped_splits(files, rules)
+    keys = files.select(F.lit("split_db_foss_licenses").alias("tab"), F.col("file_id").alias("row_id"), splits.label_key(F.col("dirname")).alias("lk"), splits.author_key(F.col("author")).alias("ak"), splits.origin_key(F.col("origin")).alias("ok"))
+    none = F.lit(None).cast("string")
+    keys = keys.unionByName(rules.select(F.lit("spdxregex").alias("tab"), F.col("regex_id").alias("row_id"), splits.label_key(F.col("licenses")).alias("lk"), none.alias("ak"), none.alias("ok")))
+    placed = materialize(keys.join(split, ["tab", "row_id"]).select("lk", "ak", "ok", "split"), "placed")
+    out = placed.agg(F.count("*").alias("rows"), F.count(F.when(F.col("split").isNull(), 1)).alias("unplaced"))
+    for key, name in (("lk", "labels"), ("ak", "authors"), ("ok", "origins")):
+        ways = placed.where(F.col(key).isNotNull()).groupBy(key, "split").agg(F.count("*").alias("n")).groupBy(key).agg(F.count("*").alias("n"))
+        out = out.join(F.broadcast(ways.agg(F.count("*").alias(name), F.count(F.when(F.col("n") > 1, 1)).alias(f"parted_{name}"))))  # one row
+    return out
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows that hold misread text."""
     return encoding.garbled(spread(_files(spark, d))).select(F.col("id").alias("file_id"))
@@ -126,7 +141,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of this subpackage by name."""
     own = (
-        p1_found, p1_splits, p3_found, p3_restored, p4_found, p4_copies, p5_found, p5_shares, p5_clusters, p5_paragraphs, p6_found, p6_groups,
+        p1_found, p1_splits, p1_parted, p3_found, p3_restored, p4_found, p4_copies, p5_found, p5_shares, p5_clusters, p5_paragraphs, p6_found, p6_groups,
         p7_found, p7_leaks, p8_found, p8_report, p8_mix, p9_found, p9_rates,
     )
     return {f.__name__: f for f in own}
