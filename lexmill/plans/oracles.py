@@ -135,21 +135,53 @@ def _base_of(rest: str) -> str:
     return f"('0x' || substring(md5(key || '|' || {rest}), 1, 16))::UBIGINT::UHUGEINT AS b"
 
 
-_NGRAM_WALKS = f"""WITH RECURSIVE {_TEXTS},
+_MODELS = f"""{_TEXTS},
 toks AS (SELECT rid, {_tokens('s')} AS k FROM (SELECT rid, unnest(list_transform(string_split(text, '.'), lambda x: x || '.')) AS s FROM texts)),
 grams AS (SELECT rid, n, array_to_string(p[i:i + n - 2], ' ') AS context, p[i + n - 1] AS token FROM (
   SELECT *, unnest(range(1, len(p) - n + 2)) AS i FROM (SELECT rid, n, list_concat(list_transform(range(n - 1), lambda i: '<START>'), k) AS p FROM toks, (SELECT unnest(range(2, 8)) AS n)))),
-model AS MATERIALIZED (SELECT rid, n, context, list(token ORDER BY token) AS succ FROM grams GROUP BY ALL),
-begun AS ({_numbers(f"SELECT rid, n, b, unnest(range(1, seeds + 1)) AS seed FROM (SELECT *, {_base_of("n || '|6'")} FROM texts, (SELECT unnest(range(2, 8)) AS n))", "63", "u")}),
-walk AS (
-  SELECT rid, n, seed, b, 6 + floor(u * 25)::INT AS many, {_FRESH} AS context, '' AS phrase, 0 AS step FROM begun
+model AS MATERIALIZED (SELECT rid, n, context, list(token ORDER BY token) AS succ FROM grams GROUP BY ALL)"""
+
+
+def _walks(low: int, high: int, name: str) -> str:
+    """Walks of ``low`` to ``high`` tokens, as CTEs: ``name`` has license, source, n, seed and phrase."""
+    begun = _numbers(f"SELECT rid, n, b, unnest(range(1, seeds + 1)) AS seed FROM (SELECT *, {_base_of(f"n || '|{low}'")} FROM texts, (SELECT unnest(range(2, 8)) AS n))", "63", "u")
+    return f"""{name}_begun AS ({begun}),
+{name}_walk AS (
+  SELECT rid, n, seed, b, {low} + floor(u * {high - low + 1})::INT AS many, {_FRESH} AS context, '' AS phrase, 0 AS step FROM {name}_begun
   UNION ALL
   SELECT rid, n, seed, b, many, CASE WHEN tok = '.' THEN {_FRESH} ELSE array_to_string(list_concat(string_split(context, ' ')[2:], [tok]), ' ') END,
     CASE WHEN step = 0 THEN tok ELSE phrase || ' ' || tok END, step + 1
-  FROM (SELECT w.*, m.succ[1 + floor(w.u * len(m.succ))::INT] AS tok FROM ({_numbers("SELECT * FROM walk WHERE step < many", "step", "u")}) w JOIN model m ON m.rid = w.rid AND m.n = w.n AND m.context = w.context)),
-made AS (SELECT license, source, n::INT AS n, seed::INT AS seed, phrase FROM walk JOIN texts USING (rid) WHERE step = many)
+  FROM (SELECT w.*, m.succ[1 + floor(w.u * len(m.succ))::INT] AS tok FROM ({_numbers(f"SELECT * FROM {name}_walk WHERE step < many", "step", "u")}) w JOIN model m ON m.rid = w.rid AND m.n = w.n AND m.context = w.context)),
+{name} AS (SELECT license, source, n::INT AS n, seed::INT AS seed, phrase FROM {name}_walk JOIN texts USING (rid) WHERE step = many)
 """
 
+
+_NGRAM_WALKS = f"WITH RECURSIVE {_MODELS}, {_walks(6, 30, 'made')}"
+
+
+def _label_key(x: str) -> str:
+    return f"lower(regexp_replace({x}, '[-._ ]+', ' ', 'g'))"
+
+
+def _pool(name: str, walks: str) -> str:
+    return f"""{name} AS MATERIALIZED (SELECT k, phrase, row_number() OVER (PARTITION BY k ORDER BY phrase) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM (
+  SELECT DISTINCT {_label_key('license')} AS k, lower({_clean('phrase')}) AS phrase FROM {walks} WHERE license IS NOT NULL) WHERE phrase <> '')"""
+
+
+def _assembled() -> str:
+    u = lambda key: f"(('0x' || substring(md5({key}), 1, 8))::BIGINT::DOUBLE / 4294967296.0)"
+    own = f"""SELECT p.regex_id, {_label_key('licenses')} AS k, {_case('rx', lambda k, m: f"'{k}'", "'none'")} AS kind, {_erase('prefix')} AS p, {_erase('suffix')} AS s
+  FROM (SELECT regex_id, licenses, {_unquote('regex')} AS rx FROM spdxregex) r JOIN ({_PARTS}) p USING (regex_id) WHERE licenses IS NOT NULL AND rx IS NOT NULL"""
+    parts = [
+        f"""SELECT regex_id, any_value(kind) AS kind, round::INT AS round, any_value(p) || ' ' || string_agg(phrase || ' (and|or) ', '' ORDER BY j) || ' ' || any_value(s) AS assembled
+FROM (SELECT d.*, q.phrase FROM (SELECT *, floor({u("regex_id || '|' || round || '|' || j")} * n)::BIGINT AS i FROM (
+  SELECT *, unnest(range(1, 2 + floor({u("regex_id || '|' || round || '|times'")} * 4)::INT)) AS j FROM (SELECT own.*, z.n, unnest(range(1, 21)) AS round FROM own JOIN (SELECT DISTINCT k, n FROM {pool}) z USING (k) WHERE kind IN ({kinds})))) d
+  JOIN {pool} q ON q.k = d.k AND q.i = d.i) GROUP BY regex_id, round"""
+        for pool, kinds in (("pool", "'group', 'few'"), ("long_pool", "'some', 'any'"))
+    ]
+    return f"WITH RECURSIVE {_MODELS}, {_walks(6, 30, 'made')}, {_walks(12, 59, 'far')}, {_pool('pool', 'made')}, {_pool('long_pool', 'far')}, own AS ({own}) " + " UNION ALL ".join(parts)
+
+
 _CHAIN_WALKS = f"""WITH RECURSIVE {_TEXTS},
 worded AS (SELECT rid, list_transform(string_split({_no_digits('text')}, ' '), lambda w: {_chain('w')}) AS w1, list_transform(string_split(text, ' '), lambda w: {_chain('w')}) AS w2 FROM texts),
 chain AS MATERIALIZED (SELECT rid, w1[i] AS word, list(w2[i + 1] ORDER BY i) AS succ FROM (SELECT *, unnest(range(1, len(w1))) AS i FROM worded) GROUP BY ALL),
@@ -254,6 +286,7 @@ SELECT context, token, coalesce(prob, 0.0) AS prob FROM asked LEFT JOIN m USING
         "ngram_generate": _NGRAM_WALKS + "SELECT * FROM made",
         "markov_generate": _CHAIN_WALKS,
         "phrase_pool": _NGRAM_WALKS + f"SELECT DISTINCT license, source, phrase FROM (SELECT license, source, lower({_clean('phrase')}) AS phrase FROM made) WHERE phrase <> ''",
+        "assembled_regexes": _assembled(),
         "lookup_exact": """SELECT file_id, coalesce(r.regex, '') AS regex FROM split_db_foss_licenses f LEFT JOIN (
 SELECT licenses, arg_min(coalesce(regex, ''), regex_id) AS regex FROM spdxregex WHERE licenses IS NOT NULL GROUP BY licenses) r ON r.licenses = f.dirname""",
         "lookup_contains": "SELECT key, regex_id FROM (SELECT DISTINCT license AS key FROM licenses WHERE license <> '') JOIN spdxregex ON regexp_matches(licenses, key)",

@@ -14,7 +14,7 @@ from lexmill.operators import fragments as fr
 from lexmill.operators import generate as gen
 from lexmill.operators import labels as lab
 from lexmill.operators import models, signatures, walks
-from lexmill.operators.expansions import expansions
+from lexmill.operators.expansions import assembled, expansions
 from lexmill.runtime import new_path, read_table, spread
 from lexmill.sources import catalogs, compaction
 
@@ -249,6 +249,12 @@ def assemble_expansions(spark, d):
     return _expansions(spark, d).select("regex_id", "algo", "rank", "expansion")
 
 
+@query
+def assembled_regexes(spark, d):
+    """Twenty rounds of each regex with drawn phrases of its licence in place of its wildcard."""
+    return assembled(rules(spark, d), licenses(spark, d))
+
+
 @query
 def lookup_exact(spark, d):
     """The first regex of each fragment's label, empty where there is none."""

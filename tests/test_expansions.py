@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from lexmill.functions.sampling import sample_regex
+from lexmill.operators.expansions import assembled
 from lexmill.plans import queries
 
 TEXT = "the holder may copy works, pass them on to others without fee. the author can sell each copy of those works to any buyer"
@@ -41,3 +42,21 @@ def test_augmented_with_generated_expansions(spark, tmp_path):
     got = queries.queries()["augment_fragment"](spark, d).collect()
     assert sorted(r.augmented for r in got) == sorted(f"text.{x}" for x in made) and {r.file_id for r in got} == {10} and len(made) > 300
     assert sorted(r.augmented for r in queries.queries()["augment_cross"](spark, d).collect()) == sorted(f"{TEXT} {x}" for x in made)
+
+
+def test_assembled(spark, tmp_path):
+    d = tables(spark, tmp_path)
+    rows = queries.queries()["assembled_regexes"](spark, d).collect()
+    assert {(r.regex_id, r.kind) for r in rows} == {(1, "group"), (2, "some"), (7, "few")} and all(sum(r.regex_id == k for r in rows) == 20 for k in (1, 2, 7))
+    pool = {r.phrase for r in queries.queries()["phrase_pool"](spark, d).collect()}
+    counts = set()
+    for r in rows:
+        begin, end = {1: ("grant  ", "  licen[cs]e"), 2: ("terms  ", "  end"), 7: ("(?=a)  ", "  b")}[r.regex_id]
+        assert r.assembled.startswith(begin) and r.assembled.endswith(" (and|or) " + end)
+        drawn = r.assembled[len(begin) : -len(end)].split(" (and|or) ")[:-1]
+        counts.add(len(drawn))
+        assert r.regex_id == 2 or all(p in pool for p in drawn), r
+    assert counts == {1, 2, 3, 4}
+    assert set(queries.queries()["assembled_regexes"](spark, d).repartition(3).collect()) == set(rows)
+    none = spark.createDataFrame([], "regex_id long, licenses string, regex string")
+    assert assembled(none, spark.createDataFrame([("A", "s", TEXT)], "license string, source string, text string")).count() == 0
