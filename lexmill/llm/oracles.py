@@ -12,7 +12,7 @@ def _list(values: tuple[str, ...]) -> str:
 _TRIM = r"regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 _LABEL = r"regexp_replace(lower(" + _TRIM + r"), '[-._\s\p{{Z}}]+', '-', 'g')"
 
-P1_FOUND = rf"""
+P1_TIES = rf"""
 WITH RECURSIVE files AS (
   SELECT DISTINCT {_LABEL.format('dirname')} AS lk,
     array_to_string(list_sort(list_filter(string_split_regex(lower(author), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda w: w <> '')), ' ') AS ak,
@@ -31,6 +31,12 @@ tied AS (SELECT x, y FROM reach WHERE x <> y),
 labels AS (
   SELECT dirname AS label, {_LABEL.format('dirname')} AS lk FROM split_db_foss_licenses WHERE dirname IS NOT NULL
   UNION SELECT licenses, {_LABEL.format('licenses')} FROM spdxregex WHERE licenses IS NOT NULL)
+"""
+P1_LABELS = P1_TIES + rf""", whole AS (SELECT dirname AS label FROM split_db_foss_licenses UNION ALL SELECT licenses FROM spdxregex),
+near AS (SELECT x, y FROM tied UNION SELECT lk, lk FROM labels)
+SELECT a.label, min(b.label) AS tied_to, (SELECT count(*) FROM whole w WHERE w.label = a.label) AS rows FROM labels a JOIN near ON x = a.lk JOIN labels b ON b.lk = y GROUP BY a.label
+"""
+P1_FOUND = P1_TIES + """
 SELECT a.label AS label_a, b.label AS label_b FROM labels a JOIN labels b ON a.lk = b.lk AND a.label < b.label
 UNION
 SELECT a.label, b.label FROM labels a JOIN tied t ON a.lk = t.x JOIN labels b ON b.lk = t.y WHERE a.label < b.label
@@ -136,6 +142,7 @@ def oracle_sql() -> dict[str, str]:
     """SQL by query."""
     return {
         "p1_found": P1_FOUND,
+        "p1_labels": P1_LABELS,
         "p1_parted": P1_PARTED,
         "p4_found": P4_CANON + "SELECT g.least AS file_id_a, c.file_id AS file_id_b FROM canon c JOIN grouped g USING (canon) WHERE c.file_id <> g.least",
         "p4_copies": P4_CANON + "SELECT least AS file_id, copies FROM grouped",

@@ -20,6 +20,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return splits.label_pairs(_files(spark, d), read_table(spark, d, "spdxregex"))
 
 
+def p1_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Each label with the smallest label that must share its split, and its rows."""
+    return splits.label_groups(_files(spark, d), read_table(spark, d, "spdxregex"))
+
+
 def p1_splits(spark: SparkSession, d: str) -> DataFrame:
     """A split for every row of both tables."""
     return splits.grouped_splits(_files(spark, d), read_table(spark, d, "spdxregex"))
@@ -141,7 +146,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries of this subpackage by name."""
     own = (
-        p1_found, p1_splits, p1_parted, p3_found, p3_restored, p4_found, p4_copies, p5_found, p5_shares, p5_clusters, p5_paragraphs, p6_found, p6_groups,
+        p1_found, p1_labels, p1_splits, p1_parted, p3_found, p3_restored, p4_found, p4_copies, p5_found, p5_shares, p5_clusters, p5_paragraphs, p6_found, p6_groups,
         p7_found, p7_leaks, p8_found, p8_report, p8_mix, p9_found, p9_rates,
     )
     return {f.__name__: f for f in own}

@@ -100,6 +100,20 @@ def grouped_splits(
     return tied.unionByName(single)
 
 
+def label_groups(files: DataFrame, rules: DataFrame, seed: int = 17) -> DataFrame:
+    """(``label``, ``tied_to``, ``rows``): one row for each label string, with the smallest label that must share its split and its number of rows.
+
+    The same ties as label_pairs in a form that grows with the labels and not with their pairs. Null labels are none;
+    empty tables give an empty table.
+    """
+    known = label_components(files, rules, seed)
+    rows, regexes = _clean(files, rules)
+    counted = rows.select("label", "lk").unionByName(regexes.select("label", "lk")).where("label IS NOT NULL").groupBy("label", "lk").agg(F.count("*").alias("rows"))
+    comp = materialize(counted.withColumn("vertex", F.concat(F.lit("L:"), F.col("lk"))).join(known, "vertex").select("label", "component", "rows"), "labels", compact=False)
+    least = comp.groupBy("component").agg(F.min("label").alias("tied_to"))
+    return comp.join(least, "component").select("label", "tied_to", "rows")
+
+
 def label_pairs(files: DataFrame, rules: DataFrame, seed: int = 17) -> DataFrame:
     """(``label_a``, ``label_b``): the pairs of different label strings that must share a split, ``label_a < label_b``.
 
