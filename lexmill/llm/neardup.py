@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.components import components
 from lexmill.llm.vec import Codes, ascii_word_table, chunks, grams, mix
-from lexmill.runtime import discard, materialize
+from lexmill.runtime import discard, known_rows, materialize, materialize_parts
 
 #: A sketch has PARTS partitions of WIDTH min-hash values of 16 bits: first the lowest four bits of all, two values to a byte, then the next four, then the high bytes.
 PARTS, WIDTH = 24, 3
@@ -38,7 +38,7 @@ def _upper_half(hashes: np.ndarray) -> np.ndarray:
 
 
 def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_words: int) -> DataFrame:
-    """(``id``, ``digest``, ``n``, ``sketch`` bytes, ``shingles`` as sorted ints) of the rows with enough words."""
+    """Two rows for each text with enough words: kind 0 with ``digest``, ``n`` and ``shingles`` as sorted ints, kind 1 with the ``sketch`` bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = ascii_word_table()
@@ -64,13 +64,15 @@ def shingle_rows(df: DataFrame, id_col: str, text_col: str, words: int, min_word
                 half = PARTS * WIDTH // 2
                 fours = [(values >> shift) & 15 for shift in (0, 4)]
                 sketch = np.concatenate([*(f[:, :half] | f[:, half:] << 4 for f in fours), values >> 8], axis=1).astype(np.uint8)
+                own, nothing = [i for i, _ in out], [None] * len(out)
                 yield pd.DataFrame({
-                    "id": [i for i, _ in out], "digest": [xxhash.xxh3_128_digest(s.tobytes()) for _, s in out], "n": [len(s) for _, s in out],
-                    "sketch": [r.tobytes() for r in sketch], "shingles": [_upper_half(s) for _, s in out],
+                    "id": own, "digest": [xxhash.xxh3_128_digest(s.tobytes()) for _, s in out], "n": [len(s) for _, s in out], "sketch": nothing,
+                    "shingles": [_upper_half(s) for _, s in out], "kind": 0,
                 })
+                yield pd.DataFrame({"id": own, "digest": nothing, "n": 0, "sketch": [r.tobytes() for r in sketch], "shingles": nothing, "kind": 1})
 
     wanted = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
-    return wanted.mapInPandas(run, "id long, digest binary, n int, sketch binary, shingles array<int>")
+    return wanted.mapInPandas(run, "id long, digest binary, n int, sketch binary, shingles array<int>, kind int")
 
 
 def _signature(values: np.ndarray, part: int, subset: tuple[int, ...]) -> np.ndarray:
@@ -276,25 +278,26 @@ class NearDuplicates:
     """
 
     def __init__(self, df: DataFrame, id_col: str = "file_id", text_col: str = "content", words: int = 5, similarity: float = 0.8, min_words: int = 20, recall: float = 0.999, thresholds: list[int] | None = None) -> None:
-        self.rows = materialize(shingle_rows(df, id_col, text_col, words, min_words), "shingles")
+        # The sketches are needed for a shorter time than the sets.
+        self.rows, sketches = materialize_parts(shingle_rows(df, id_col, text_col, words, min_words), "shingles", "kind", (0, 1))
         classes = self.rows.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
         several = materialize(classes.where("copies > 1").select("digest", "rep"), "classes")
         # Most classes have one member: only the others' members are joined.
         self.copies = materialize(self.rows.select("id", "digest").join(several, "digest").select("id", "rep").distinct(), "copies")
         spare = self.copies.where("id <> rep").select("id")
-        distinct = materialize(self.rows.select("id", "sketch").join(spare, "id", "left_anti"), "sketches")
-        n = distinct.count()
+        distinct = materialize(sketches.select("id", "sketch").join(spare, "id", "left_anti"), "sketches", counted=True)
+        discard(sketches)
+        n = known_rows(distinct)
         self.order = correlated_order(distinct)
         counts, hot = estimate_candidates(distinct, self.order, n)
         self.thresholds = thresholds or allocate(counts, n, similarity, recall)
         raw, pairs = candidate_pairs(distinct, self.thresholds, self.order, hot)
         found = materialize(pairs, "candidates")
         discard(raw)
-        discard(distinct)
         discard(several)
-        self.links = self._verified(found, similarity)
+        self.links = self._verified(found, distinct, similarity)
 
-    def _verified(self, found: DataFrame, similarity: float) -> DataFrame:
+    def _verified(self, found: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
         # Four bits of a value also agree by chance, once in 16 times.
         values, agree = PARTS * WIDTH, similarity + (1 - similarity) / 16
         least = values * agree - 4.5 * math.sqrt(values * agree * (1 - agree))
@@ -305,11 +308,12 @@ class NearDuplicates:
                 same = ((differ & 15) == 0).sum(axis=1) + ((differ >> 4) == 0).sum(axis=1)
                 yield pdf.loc[same >= least, ["a", "b"]]
 
-        side = lambda name, cols: self.rows.select(F.col("id").alias(name), *cols)
+        side = lambda name, cols: sketches.select(F.col("id").alias(name), *cols)
         brief = F.substring("sketch", 1, values // 2)  # the lowest bits are enough to rule a pair out
         sketched = found.join(side("a", [brief.alias("sa")]), "a").join(side("b", [brief.alias("sb")]), "b")
         kept = materialize(sketched.mapInPandas(near, "a long, b long"), "kept")
         discard(found)
+        discard(sketches)
         ends = kept.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = materialize(self.rows.select("id", "shingles").join(ends, "id"), "sets")
         pick = lambda name, as_: sets.select(F.col("id").alias(name), F.col("shingles").alias(as_))

@@ -78,7 +78,10 @@ def test_label_pairs(spark):
     got = {tuple(r) for r in splits.label_pairs(*labelled(spark)).collect()}
     groups = ({"MIT-1.0", "mit_1.0", "MIT.1.0", "GPL 2"}, {"BSD", "Zlib", "Solo-1"})
     assert got == {(a, b) for g in groups for a in g for b in g if a < b}
+    told = {r.label: (r.tied_to, r.rows) for r in splits.label_groups(*labelled(spark)).collect()}
+    assert {k: v[0] for k, v in told.items()} == {x: min(g) for g in (*groups, {"Free"}, {"Alone"}) for x in g} and told["Alone"][1] == 2 and told["BSD"][1] == 1
     rows, rules = labelled(spark)
+    assert splits.label_groups(rows.limit(0), rules.limit(0)).count() == 0
     assert splits.label_pairs(rows.limit(0), rules.limit(0)).count() == 0
 
 
@@ -305,7 +308,7 @@ def test_near_duplicates(spark, monkeypatch):
     assert set(groups) == {i for i, t in rows if t and len(t.split()) >= 20} and groups[903].class_id == groups[0].class_id == 0
     assert all(groups[a].group_id == groups[b].group_id for a, b in got)
     # Groups beyond the limit take the salted way and give the same pairs.
-    sketches = near.rows.select("id", "sketch")
+    sketches = neardup.shingle_rows(df, "file_id", "content", 3, 20).where("kind = 1").select("id", "sketch")
     thresholds = [0] * neardup.PARTS
     one = {tuple(r) for r in neardup.candidate_pairs(sketches, thresholds)[1].collect()}
     assert {tuple(r) for r in neardup.candidate_pairs(sketches, thresholds, group_limit=1)[1].collect()} == one
