@@ -93,6 +93,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the files of shuffles go whose plans are done.
+
+    Spark removes a shuffle's files once the driver's collector finds its plan unused, which a driver with little to
+    do seldom looks for; so it is asked to.
+    """
+    spark._jvm.java.lang.System.gc()
+
+
 def discard(df: DataFrame | None) -> None:
     """Remove the files of a table that materialize wrote and nothing needs any more."""
     path = getattr(df, "_lexmill_path", None)
