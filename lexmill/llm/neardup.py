@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.components import components
 from lexmill.llm.vec import Codes, ascii_word_table, chunks, grams, mix
-from lexmill.runtime import discard, known_rows, materialize, materialize_parts
+from lexmill.runtime import discard, known_rows, materialize, materialize_parts, release_shuffles
 
 #: A sketch has PARTS partitions of WIDTH min-hash values of 16 bits: first the lowest four bits of all, two values to a byte, then the next four, then the high bytes.
 PARTS, WIDTH = 24, 3
@@ -314,8 +314,10 @@ class NearDuplicates:
         kept = materialize(sketched.mapInPandas(near, "a long, b long"), "kept")
         discard(found)
         discard(sketches)
+        release_shuffles(kept.sparkSession)
         ends = kept.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = materialize(self.rows.select("id", "shingles").join(ends, "id"), "sets")
+        release_shuffles(kept.sparkSession)  # that of all rows' sets is the largest one
         pick = lambda name, as_: sets.select(F.col("id").alias(name), F.col("shingles").alias(as_))
         both = kept.join(pick("a", "xa"), "a").join(pick("b", "xb"), "b")
         common = F.size(F.array_intersect("xa", "xb"))
