@@ -62,23 +62,6 @@ def materialize(df: DataFrame, label: str = "table", compact: bool = True, count
     return out
 
 
-def materialize_parts(df: DataFrame, label: str, by: str, values: tuple) -> list[DataFrame]:
-    """Write ``df`` once, below one folder for each value of ``by``, and read each back without it: parts that are needed for different times are discarded one by one."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.option("compression", "zstd").partitionBy(by).parquet(path)
-    kept = df.drop(by)
-    out = []
-    for value in values:
-        part = f"{path}/{by}={value}"
-        target = spark._jvm.org.apache.hadoop.fs.Path(part)
-        known = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-        own = spark.read.schema(kept.schema).parquet(part) if known else spark.createDataFrame([], kept.schema)
-        own._lexmill_path = part if known else None
-        out.append(own)
-    return out
-
-
 def known_rows(df: DataFrame) -> int:
     """Rows of a table that materialize counted."""
     return df._lexmill_rows
@@ -93,15 +76,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let the files of shuffles go whose plans are done.
-
-    Spark removes a shuffle's files once the driver's collector finds its plan unused, which a driver with little to
-    do seldom looks for; so it is asked to.
-    """
-    spark._jvm.java.lang.System.gc()
-
-
 def discard(df: DataFrame | None) -> None:
     """Remove the files of a table that materialize wrote and nothing needs any more."""
     path = getattr(df, "_lexmill_path", None)
