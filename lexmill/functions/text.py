@@ -120,7 +120,7 @@ def wildcard_kind(c: Column) -> Column:
     """The first kind of wildcard in a regex: group, few, some, any or none."""
     out = F.lit("none")
     for kind, mark in reversed(KINDS):
-        out = F.when(_times(c, mark) > 0, kind).otherwise(out)
+        out = F.when(c.contains(mark), kind).otherwise(out)
     return F.when(c.isNotNull(), out)
 
 
@@ -128,7 +128,7 @@ def wildcard_mark(c: Column) -> Column:
     """The mark of the first kind of wildcard in a regex, null if there is none."""
     out = F.lit(None).cast("string")
     for _, mark in reversed(KINDS):
-        out = F.when(_times(c, mark) > 0, mark).otherwise(out)
+        out = F.when(c.contains(mark), mark).otherwise(out)
     return out
 
 
@@ -136,7 +136,7 @@ def wildcard_count(c: Column) -> Column:
     """How often the mark of the first kind stands in a regex; 0 if there is none."""
     out = F.lit(0)
     for _, mark in reversed(KINDS):
-        out = F.when(_times(c, mark) > 0, _times(c, mark)).otherwise(out)
+        out = F.when(c.contains(mark), _times(c, mark)).otherwise(out)
     return F.when(c.isNotNull(), out)
 
 
