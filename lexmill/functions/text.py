@@ -186,7 +186,7 @@ def absolute_url(c: Column, base: str) -> Column:
 
 def for_scan(c: Column) -> Column:
     """Text as signatures are matched against it: punctuation as blanks, blanks collapsed, lower case."""
-    return strip(F.lower(collapse(F.translate(c, PUNCTUATION, " " * len(PUNCTUATION)))))
+    return F.trim(F.lower(F.regexp_replace(c, f"[{PUNCT[1:-1]}{WS[1:-1]}]+", " ")))
 
 
 def draw(*parts: Column | str | int) -> Column:

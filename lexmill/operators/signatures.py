@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lexmill.functions import text as T
 from lexmill.functions.sampling import _parser
-from lexmill.runtime import materialize
+from lexmill.runtime import known_rows, materialize
 
 
 def parse_catalogue(lines: DataFrame, doc: str = "doc", line: str = "line", value: str = "value") -> DataFrame:
@@ -111,30 +116,75 @@ def scan_form(c: Column) -> Column:
     return T.strip(T.collapse(F.regexp_replace(c, r"(?<=\p{L})-(?=\p{L})", " ")))
 
 
-def needle(pattern: str) -> str:
-    """The longest run of ASCII letters, digits and blanks that every match holds as it stands, lower-cased; empty if there is none.
+def _sure(pattern: str) -> tuple[str, int, int | None]:
+    """needle, and how many characters at least and at most stand before it in a match; None where that isn't known."""
+    best: tuple[str, int, int | None] = ("", 0, None)
 
-    Read off the parsed regex: only literal characters outside alternatives, classes and repetitions count, and a part
-    that must occur at least once counts by itself.
-    """
-    best = ""
-
-    def walk(items) -> None:
+    def walk(items, top: bool) -> None:
         nonlocal best
         run = ""
-        for op, arg in [*items, (None, None)]:
+        for k, (op, arg) in enumerate([*items, (None, None)]):
             c = chr(arg).lower() if str(op) == "LITERAL" else ""
             if len(c) == 1 and c.isascii() and (c.isalnum() or c == " "):
                 run += c
                 continue
-            best, run = max(best, run, key=len), ""
+            if len(run) > len(best[0]):
+                low, high = items[: k - len(run.lstrip())].getwidth() if top else (0, None)
+                best = (run, low, high)
+            run = ""
             if str(op) == "SUBPATTERN":
-                walk(arg[3])
+                walk(arg[3], False)
             elif str(op) in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and arg[0] >= 1:
-                walk(arg[2])
+                walk(arg[2], False)
+
+    walk(_parser.parse(pattern, re.IGNORECASE), True)
+    return best[0].strip(), *best[1:]
 
-    walk(_parser.parse(pattern, re.IGNORECASE))
-    return best.strip()
+
+def needle(pattern: str) -> str:
+    """The longest run of ASCII letters, digits and blanks that every match holds as it stands, lower-cased; empty if there is none.
+
+    Read off the parsed regex: only literal characters outside alternatives, classes and repetitions count, and a part
+    that must occur at least once counts by itself.
+    """
+    return _sure(pattern)[0]
+
+
+def alternatives(pattern: str) -> list[str]:
+    """Regexes of which one is found just where ``pattern`` is found: the alternatives of a pattern that is one plain list of them, else itself."""
+    if "(?" in pattern or re.search(r"\\[0-9]", pattern):
+        return [pattern]
+
+    def split(text: str) -> list[str] | None:
+        parts, depth, inside, k, begin = [], 0, False, 0, 0
+        while k < len(text):
+            c = text[k]
+            if c == "\\":
+                k += 1
+            elif inside:
+                inside = c != "]"
+            elif c == "[":
+                inside = True
+                k += text[k + 1 : k + 2] == "^"
+                k += text[k + 1 : k + 2] == "]"  # literal at this place
+            elif c in "()":
+                depth += 1 if c == "(" else -1
+                if depth < 0:
+                    return None
+            elif c == "|" and not depth:
+                parts.append(text[begin:k])
+                begin = k + 1
+            k += 1
+        return [*parts, text[begin:]]
+
+    found = split(pattern[1:-1]) if pattern.startswith("(") and pattern.endswith(")") and not pattern.endswith("\\)") else split(pattern)
+    found = found or split(pattern) or [pattern]
+    try:
+        for x in found:
+            re.compile(x)
+    except re.error:
+        return [pattern]
+    return found
 
 
 def _ready(signatures: DataFrame, sig_col: str, regex_col: str, key_col: str | None) -> DataFrame:
@@ -155,75 +205,206 @@ def _ready(signatures: DataFrame, sig_col: str, regex_col: str, key_col: str | N
     return given.mapInPandas(run, f"sig {given.schema['sig'].dataType.simpleString()}, key string, regex string, needle string")
 
 
+#: What stands for an ASCII letter without regard to case, but isn't lower-cased to one character of ASCII.
+_FOLDED = str.maketrans({"\u0130": "i", "\u0131": "i", "\u017f": "s", "\u212a": "k"})
+#: Starts of a match that are tried for each place of its sure literal; beyond that the whole text is searched. Texts at a time, rows sent at a time.
+_STARTS, _TEXTS, _SENT = 8, 256, 200_000
+
+
+def _expanded(begin: np.ndarray, size: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The members of the groups ``x``, and by which place of ``x`` each comes."""
+    many = size[x]
+    by = np.repeat(np.arange(len(x)), many)
+    return np.arange(len(by)) + (begin[x] - np.cumsum(many) + many)[by], by
+
+
+def _groups(pairs: list[tuple[int, int]], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs by their first number: where each of ``n`` groups begins and its size; the order of the pairs."""
+    first = np.array([a for a, _ in pairs], np.int64)
+    size = np.bincount(first, minlength=n)
+    return np.cumsum(size) - size, size, np.argsort(first, kind="stable")
+
+
 class _Block:
-    """A block of signatures, ready to be tried on texts. Regexes are compiled when they are first needed."""
+    """A block of signatures, ready to be tried on texts: each regex is tried once a text, however many signatures and keys it has.
+
+    Regexes are compiled when they are first needed. Keys are split into their alternatives; plain words among these are found by one automaton.
+    """
 
     def __init__(self, rows: list[tuple]) -> None:
+        number = lambda values: {v: k for k, v in enumerate(dict.fromkeys(values))}
+        sigs, keys, regexes = number(r[0] for r in rows), number(r[1] for r in rows if r[1] is not None), number(r[2] for r in rows)
+        self.sigs, self.regexes, self.keys, self.once = list(sigs), list(regexes), len(keys), len(sigs) == len(rows)
+        self.begin, self.size, order = _groups([(regexes[r[2]], 0) for r in rows], len(regexes))
+        self.sig = np.array([sigs[r[0]] for r in rows], np.int64)[order]
+        self.key = np.array([len(keys) if r[1] is None else keys[r[1]] for r in rows], np.int64)[order]  # the last one stands for none
+        self.always: list[int] = []
+        near: dict[str, list[tuple]] = {}
+        for regex, sure in dict.fromkeys((r[2], r[3]) for r in rows):
+            if sure:
+                _, low, high = _sure(regex)
+                near.setdefault(sure, []).append((regexes[regex], low, high if high is not None and high - low < _STARTS else None))
+            else:
+                self.always.append(regexes[regex])
+        self.near = self._automaton(near)
+
+        parts = {k: alternatives(k) for k in keys}
+        parted = number(x for p in parts.values() for x in p)
+        pairs = [(parted[x], keys[k]) for k, p in parts.items() for x in dict.fromkeys(p)]
+        self.alt_begin, self.alt_size, order = _groups(pairs, len(parted))
+        self.alt_key = np.array([k for _, k in pairs], np.int64)[order]
+        self.alts = list(parted)
+        plain = {x for x in parted if re.fullmatch("[A-Za-z0-9 ]+", x)}
+        self.words = self._automaton({x.lower(): [] for x in plain})
+        self.word_alts: dict[str, list[int]] = {}
+        for x in plain:
+            self.word_alts.setdefault(x.lower(), []).append(parted[x])
+        asked: dict[int, set[int]] = {}
+        for _, key, regex, _ in rows:
+            if key is not None:
+                asked.setdefault(regexes[regex], set()).update(parted[x] for x in parts[key] if x not in plain)
+        self.asked = {r: frozenset(x) for r, x in asked.items()}
+        self.compiled: dict[str, re.Pattern] = {}
+
+    @staticmethod
+    def _automaton(words: dict[str, list]):
         import ahocorasick
 
-        self.always: list[tuple] = []
-        self.near: dict[str, list[tuple]] = {}
-        for sig, key, regex, sure in rows:
-            (self.near.setdefault(sure, []) if sure else self.always).append((sig, key, regex))
-        self.automaton = ahocorasick.Automaton()
-        for sure in self.near:
-            self.automaton.add_word(sure, sure)
-        if self.near:
-            self.automaton.make_automaton()
-        self.compiled: dict[str, re.Pattern] = {}
+        if not words:
+            return None
+        out = ahocorasick.Automaton()
+        for w, told in words.items():
+            out.add_word(w, (w, len(w), told))
+        out.make_automaton()
+        return out
 
     def _pattern(self, regex: str) -> re.Pattern:
         if regex not in self.compiled:
             self.compiled[regex] = re.compile(regex, re.IGNORECASE)
         return self.compiled[regex]
 
-    def matches(self, raw: str, text: str) -> Iterator:
-        """The signatures whose KEY stands in the raw text and whose STR stands in the normalised one."""
+    def _found(self, text: str) -> list[int]:
+        """The regexes that match a normalised text."""
+        found: dict[int, bool] = {r: self._pattern(self.regexes[r]).search(text) is not None for r in self.always}
         # The long s matches s without regard to case, but isn't lower-cased to it.
-        sure = {n for _, n in self.automaton.iter(text.replace("\u017f", "s"))} if self.near else ()
-        keys: dict[str, bool] = {}
-        for sig, key, regex in [*self.always, *(x for n in sure for x in self.near[n])]:
-            if key is not None:
-                if key not in keys:
-                    keys[key] = self._pattern(key).search(raw) is not None
-                if not keys[key]:
-                    continue
-            if self._pattern(regex).search(text):
-                yield sig
-
-
-def scan(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig_col: str, regex_col: str, key_col: str | None = None, block_rows: int = 20_000) -> DataFrame:
-    """(``id_col``, ``sig_col``): which signatures match which texts.
-
-    A signature matches if its KEY (``key_col``; none where null or blank) is found in the text as it is and its regex
-    in the normalised text. Every text is normalised once and run through one automaton over the signatures' sure
-    literals; only signatures whose literal occurs are tried, each KEY once a text, and the KEY before the regex. The texts aren't
-    shuffled. The signatures are sent in blocks of at most ``block_rows``, one after the other: a block's result is
-    written and its rows are let go before the next one is fetched. Null regexes and those that can't be read match
-    nothing; repeated signatures and texts count once an id.
-    """
+        for end, (_, length, told) in self.near.iter(text.replace("\u017f", "s")) if self.near else ():
+            for r, low, high in told:
+                if high is None:
+                    if r not in found:
+                        found[r] = self._pattern(self.regexes[r]).search(text) is not None
+                elif not found.get(r):
+                    at, match = end - length + 1, self._pattern(self.regexes[r]).match
+                    if low == high:
+                        found[r] = at >= low and match(text, at - low) is not None
+                    else:
+                        found[r] = any(match(text, k) for k in range(max(0, at - high), at - low + 1))
+        return [r for r, yes in found.items() if yes]
+
+    def _keys(self, raw: str, found: list[int]) -> list[int]:
+        """The alternatives of the keys of these regexes that stand in a raw text."""
+        asked = {self.asked[r] for r in found if r in self.asked}
+        if not asked:
+            return []
+        out = [a for a in frozenset().union(*asked) if self._pattern(self.alts[a]).search(raw)]
+        if self.words:
+            for w in {w for _, (w, _, _) in self.words.iter(raw.translate(_FOLDED).lower() if not raw.isascii() else raw.lower())}:
+                out += self.word_alts[w]
+        return out
+
+    def matches(self, raws: list[str], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of texts and of signatures whose KEY stands in the raw text and whose STR stands in the normalised one, each pair once."""
+        t, r, kt, k = [], [], [], []
+        for i, (raw, text) in enumerate(zip(raws, texts)):
+            if found := self._found(text):
+                t += [i] * len(found)
+                r += found
+                if stands := self._keys(raw, found):
+                    kt += [i] * len(stands)
+                    k += stands
+        ok = np.zeros((len(texts), self.keys + 1), bool)
+        ok[:, -1] = True
+        if k:
+            member, by = _expanded(self.alt_begin, self.alt_size, np.array(k, np.int64))
+            ok[np.array(kt, np.int64)[by], self.alt_key[member]] = True
+        row, by = _expanded(self.begin, self.size, np.array(r, np.int64))
+        at = np.array(t, np.int64)[by]
+        keep = ok[at, self.key[row]]
+        at, sig = at[keep], self.sig[row[keep]]
+        if not self.once and len(at):
+            at, sig = np.divmod(np.unique(at * len(self.sigs) + sig), len(self.sigs))
+        return at, sig
+
+
+#: The block that a worker process used last, by the name of what was sent.
+_LAST: dict[str, _Block] = {}
+
+
+def _block(name: str, sent) -> _Block:
+    """The block of the rows sent, built once a process and not once a task."""
+    if name not in _LAST:
+        _LAST.clear()
+        _LAST[name] = _Block(sent.value)
+    return _LAST[name]
+
+
+def _scanned(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig_col: str, regex_col: str, key_col: str | None, block_rows: int, counted: bool) -> list[DataFrame]:
+    """A table for each block: (``id``, ``sig``), or (``id``, ``n``) if ``counted``. No signature is in two blocks; an id's texts may be several rows."""
     spark = docs.sparkSession
-    ready = _ready(signatures, sig_col, regex_col, key_col)
+    ready = materialize(_ready(signatures, sig_col, regex_col, key_col), "signatures", counted=True)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), T.for_scan(F.col(text_col)).alias("text"))
-    kinds = f"`{id_col}` {texts.schema['id'].dataType.simpleString()}, `{sig_col}` {ready.schema['sig'].dataType.simpleString()}"
-    blocks = max(1, math.ceil(ready.count() / block_rows))
+    kind = to_arrow_type(ready.schema["sig"].dataType)
+    schema = f"id {texts.schema['id'].dataType.simpleString()}, " + ("n bigint" if counted else f"sig {ready.schema['sig'].dataType.simpleString()}")
+    blocks = max(1, math.ceil(known_rows(ready) / block_rows))
     found: list[DataFrame] = []
     for k in range(blocks):
-        rows = [tuple(r) for r in ready.where(F.pmod(F.xxhash64("sig", "regex"), F.lit(blocks)) == k).collect()]  # about block_rows
-        sent = spark.sparkContext.broadcast(rows)
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            block = _Block(sent.value)
-            for pdf in batches:
-                hits = [(i, sig) for i, raw, text in zip(pdf["id"].array, pdf["raw"].array, pdf["text"].array) for sig in block.matches(raw, text)]
-                yield pd.DataFrame({id_col: [i for i, _ in hits], sig_col: [s for _, s in hits]})
-
-        part = texts.mapInPandas(run, kinds)
+        rows = [tuple(r) for r in ready.where(F.pmod(F.xxhash64("sig"), F.lit(blocks)) == k).collect()]  # about block_rows
+        sent, name = spark.sparkContext.broadcast(rows), uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
+            block = _block(name, sent)
+            sigs = pa.array(block.sigs, kind)
+            for batch in batches:
+                for first in range(0, batch.num_rows, _TEXTS):
+                    part = batch.slice(first, _TEXTS)
+                    at, sig = block.matches(part.column(1).to_pylist(), part.column(2).to_pylist())
+                    if counted:
+                        many = np.bincount(at, minlength=part.num_rows)
+                        own = np.flatnonzero(many)
+                        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), pa.array(many[own], pa.int64())], names=["id", "n"])
+                        continue
+                    for k in range(0, len(at), _SENT):
+                        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at[k : k + _SENT])), sigs.take(pa.array(sig[k : k + _SENT]))], names=["id", "sig"])
+
+        part = texts.mapInArrow(run, schema)
         if blocks > 1:
             part = materialize(part, "matches")
             sent.destroy()
         found.append(part)
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+    return found
+
+
+def _by_rows_of_id(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose id stands once, and those whose id stands several times, if there are any; only ids are shuffled."""
+    ids = docs.select(F.col(id_col).alias("_again")).groupBy("_again").agg(F.count("*").alias("_n")).where("_n > 1").select("_again")
+    again = materialize(ids, "again", compact=False, counted=True)
+    if not known_rows(again):
+        return docs, None
+    same = F.col(id_col).eqNullSafe(F.col("_again"))
+    return docs.join(again, same, "left_anti"), docs.join(again, same, "left_semi")
+
+
+def scan(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig_col: str, regex_col: str, key_col: str | None = None, block_rows: int = 200_000) -> DataFrame:
+    """(``id_col``, ``sig_col``): which signatures match which texts.
+
+    A signature matches if its KEY (``key_col``; none where null or blank) is found in the text as it is and its regex
+    in the normalised text. Every text is normalised once a block and run through one automaton over the regexes' sure
+    literals; only regexes whose literal occurs are tried, where it occurs, each once a text, and the keys after them. The texts aren't
+    shuffled, nor are the matches, but for those of repeated ids. The signatures are sent in blocks of about ``block_rows``, one after the other: if there are several, a block's result is
+    written and its rows are let go before the next one is fetched. Null regexes and those that can't be read match
+    nothing; repeated signatures and texts count once an id.
+    """
+    alone, again = _by_rows_of_id(docs, id_col)
+    out = [_scanned(x, signatures, id_col, text_col, sig_col, regex_col, key_col, block_rows, False) for x in (alone, again) if x is not None]
+    parts = [reduce(DataFrame.unionByName, x) for x in out]
+    parts[1:] = [x.distinct() for x in parts[1:]]
+    return reduce(DataFrame.unionByName, parts).toDF(id_col, sig_col)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -170,6 +171,37 @@ def test_scan_with_keys(spark):
     assert got == {(1, "a"), (3, "a"), (1, "b"), (2, "b"), (3, "b"), (1, "c"), (1, "d"), (2, "d"), (3, "d"), (1, "f"), (2, "f"), (3, "f")}
 
 
+def _wide_case(spark):
+    texts = [(1, "Acme shall pay fees in 2001"), (1, "acme shall pays Fees"), (2, "ACME SHALL PAY"), (3, "we, acme-shall pay a fee \u0130n \u017fums"), (None, "acme shall pay"), (None, "acme shall pay"), (4, "nothing"), (5, None), (6, "pay pay acme shall pay")]
+    rows = [("a", r"\<shall pays?\>", "(fees|=YEAR=)"), ("a", r"\<acme shall\>", None), ("b", r"\<shall pays?\>", "(in|sums)"), ("c", r"\<shall pays?\>", None), ("d", r".{0,3}shall pay\>", "x|[f]e{1,2}(s|t)?"), ("e", r"\<a(c|k)me shall", r"\(|fee")]
+    return spark.createDataFrame(texts, "id int, text string"), spark.createDataFrame(rows, "sig string, rx string, kx string")
+
+
+def _by_hand(spark, d, s):
+    from lexmill.functions import text as T
+
+    got = set()
+    for t in d.where("text IS NOT NULL").select("id", "text", T.for_scan(F.col("text")).alias("t")).collect():
+        for sig, rx, kx in s.collect():
+            if re.search(signatures.transpile(rx), t.t, re.I) and (kx is None or re.search(signatures.transpile(kx), t.text, re.I)):
+                got.add((t.id, sig))
+    return got
+
+
+def test_scan_of_shared_regexes_and_repeated_ids(spark):
+    d, s = _wide_case(spark)
+    for block in (200_000, 2):
+        rows = [tuple(r) for r in signatures.scan(d, s, "id", "text", "sig", "rx", "kx", block_rows=block).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == _by_hand(spark, d, s) and len(rows) > 15
+    once = signatures.scan(d.where("id > 1"), s, "id", "text", "sig", "rx", "kx")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in once and "Join" not in once, "matches of ids that stand once aren't shuffled"
+
+
+@pytest.mark.parametrize("pattern, want", [("(fees|[0-9]{4})", ["fees", "[0-9]{4}"]), ("a|b(c|d)", ["a", "b(c|d)"]), ("(a)|(b)", ["(a)", "(b)"]), ("(a|b)c", ["(a|b)c"]), (r"(a\|b|[|)]x)", [r"a\|b", "[|)]x"]), (r"(a|b)\1", [r"(a|b)\1"]), ("(?:a|b)", ["(?:a|b)"]), ("", [""])])
+def test_alternatives(pattern, want):
+    assert signatures.alternatives(pattern) == want
+
+
 @pytest.mark.parametrize("pattern, want", [(".{1,60}ab", "ab"), ("[0-9]{4}", ""), ("=YEAR=.{1,32}of", "of"), ("(AND|OR){1,4}mit", "mit"), ("ab?cd", "cd"), ("(abc)?x", "x"), ("(abc)+x", "abc"), ("a|b", ""), ("gr\u00e4nt all", "nt all")])
 def test_needle(pattern, want):
     assert signatures.needle(signatures.transpile(pattern)) == want
