@@ -408,3 +408,14 @@ def scan(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig
     parts = [reduce(DataFrame.unionByName, x) for x in out]
     parts[1:] = [x.distinct() for x in parts[1:]]
     return reduce(DataFrame.unionByName, parts).toDF(id_col, sig_col)
+
+
+def match_counts(docs: DataFrame, signatures: DataFrame, id_col: str, text_col: str, sig_col: str, regex_col: str, key_col: str | None = None, block_rows: int = 200_000) -> DataFrame:
+    """(``id_col``, ``n``): how many signatures match each text, as scan would list them; ids without a match have no row."""
+    alone, again = _by_rows_of_id(docs, id_col)
+    counts = _scanned(alone, signatures, id_col, text_col, sig_col, regex_col, key_col, block_rows, True)
+    out = counts[0] if len(counts) == 1 else reduce(DataFrame.unionByName, counts).groupBy("id").agg(F.sum("n").alias("n"))
+    if again is not None:
+        listed = reduce(DataFrame.unionByName, _scanned(again, signatures, id_col, text_col, sig_col, regex_col, key_col, block_rows, False))
+        out = out.unionByName(listed.distinct().groupBy("id").agg(F.count("*").alias("n")))
+    return out.toDF(id_col, "n")

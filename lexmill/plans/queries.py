@@ -360,8 +360,8 @@ def sig_scan_keys(spark, d):
 @query
 def license_scores(spark, d):
     """How many signatures each document shows, and what that says by the catalogue's limits."""
-    found = signatures.scan(wide(docs)(spark, d), _sentence_signatures(spark, d), "doc_id", "text", "signature", "regex", "key_regex")
-    scored = docs(spark, d).select("doc_id").join(found.groupBy("doc_id").agg(F.count("*").alias("_n")), "doc_id", "left").select("doc_id", F.coalesce("_n", F.lit(0)).alias("score"))
+    found = signatures.match_counts(wide(docs)(spark, d), _sentence_signatures(spark, d), "doc_id", "text", "signature", "regex", "key_regex")
+    scored = docs(spark, d).select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("n", F.lit(0)).alias("score"))
     return scored.withColumn("verdict", signatures.score_class(F.col("score")))
 
 

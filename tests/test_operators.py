@@ -197,6 +197,15 @@ def test_scan_of_shared_regexes_and_repeated_ids(spark):
     assert "Aggregate" not in once and "Join" not in once, "matches of ids that stand once aren't shuffled"
 
 
+def test_match_counts(spark):
+    d, s = _wide_case(spark)
+    listed = signatures.scan(d, s, "id", "text", "sig", "rx", "kx").groupBy("id").count()
+    for block in (200_000, 2):
+        got = signatures.match_counts(d, s, "id", "text", "sig", "rx", "kx", block_rows=block)
+        assert sorted(map(str, got.collect())) == sorted(str(r).replace("count", "n") for r in listed.collect()), block
+    assert signatures.match_counts(d.limit(0), s, "id", "text", "sig", "rx", "kx").count() == 0
+
+
 @pytest.mark.parametrize("pattern, want", [("(fees|[0-9]{4})", ["fees", "[0-9]{4}"]), ("a|b(c|d)", ["a", "b(c|d)"]), ("(a)|(b)", ["(a)", "(b)"]), ("(a|b)c", ["(a|b)c"]), (r"(a\|b|[|)]x)", [r"a\|b", "[|)]x"]), (r"(a|b)\1", [r"(a|b)\1"]), ("(?:a|b)", ["(?:a|b)"]), ("", [""])])
 def test_alternatives(pattern, want):
     assert signatures.alternatives(pattern) == want
