@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as T
 from lexmill.functions.sampling import sample_regex
 from lexmill.operators import walks
-from lexmill.operators.prefix import running_total
 
 #: The features of this operator: strings for each regex, and the phrase lengths of its long wildcards.
 NGRAM_STRINGS, CHAIN_STRINGS, LONG = 200, 100, (12, 59)
@@ -25,6 +24,11 @@ def _random(*key) -> random.Random:
     return random.Random(int.from_bytes(hashlib.md5("|".join(map(str, key)).encode()).digest(), "big"))
 
 
+def _draw(*key) -> float:
+    """The same number as T.draw."""
+    return int(hashlib.md5("|".join(map(str, key)).encode()).hexdigest()[:8], 16) / 4294967296.0
+
+
 def _sampled(regex: str, round_: int) -> list[str]:
     return [re.sub(r"\s+", " ", x) for x in sample_regex(regex, seed=round_)]
 
@@ -118,34 +122,33 @@ def expansions(rules: DataFrame, texts: DataFrame) -> DataFrame:
     return walks.mapped(asked.join(known, "_k", "left").select("_r", "_t"), make, [], "licenses string, regex_id bigint, algo string, rank int, expansion string")
 
 
-def _numbered(pool: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``_k``, ``_i``, ``phrase``) with places from 0 in the order of the phrases, and (``_k``, ``_n``); a label's pool may be of any size."""
-    placed = running_total(pool.withColumn("_one", F.lit(1)), ["_k", "phrase"], "_one", "_upto")
-    sizes = placed.groupBy("_k").agg(F.min("_upto").alias("_first"), F.count("*").alias("_n"))
-    return placed.join(sizes.select("_k", "_first"), "_k").select("_k", (F.col("_upto") - F.col("_first")).alias("_i"), "phrase"), sizes.select("_k", "_n")
-
-
 def assembled(rules: DataFrame, texts: DataFrame, rounds: int = 20) -> DataFrame:
     """Regexes with drawn phrases between their parts, before anything is sampled: ``regex_id``, ``kind``, ``round``, ``assembled``.
 
     Dispatch is by the first kind of wildcard: group and few take phrases of the usual lengths, some and any long ones, each from the
     pool of distinct phrases of the regex's licence, however spelled; one to four phrases a round, each chosen uniformly by
-    hash and followed by (and|or). Only joins and aggregations: draws meet the phrase of their number. Regexes without a
-    wildcard, without a label or whose label has no text give no row.
+    hash and followed by (and|or). A label's texts and regexes meet in one row and only drawn phrases leave it; texts of labels
+    without such a regex are not walked. Regexes without a wildcard, without a label or whose label has no text give no row.
     """
     rx = T.unquote(F.col("regex"))
     r = rules.where("regex IS NOT NULL AND licenses IS NOT NULL").select("regex_id", _label_key(F.col("licenses")).alias("_k"), rx.alias("rx")).withColumn("kind", T.wildcard_kind(F.col("rx"))).where("kind <> 'none'")
-    r = r.select("regex_id", "_k", "kind", T.erase_macros(T.regex_prefix(F.col("rx"))).alias("_p"), T.erase_macros(T.regex_suffix(F.col("rx"))).alias("_s"))
-    known = texts.where("license IS NOT NULL")
-    out = None
-    for kinds, lengths in ((("group", "few"), walks.LENGTHS), (("some", "any"), LONG)):
-        pool = walks.phrase_pool(known, ["license", "source"], lengths=lengths).select(_label_key(F.col("license")).alias("_k"), "phrase").distinct()
-        phrases, sizes = _numbered(pool)
-        own = r.where(F.col("kind").isin(*kinds)).join(sizes, "_k").withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-        times = (F.lit(1) + F.floor(T.draw(F.col("regex_id"), F.col("round"), "times") * 4)).cast("int")
-        drawn = own.withColumn("_j", F.explode(F.sequence(F.lit(1), times))).withColumn("_i", F.floor(T.draw(F.col("regex_id"), F.col("round"), F.col("_j")) * F.col("_n")))
-        met = drawn.join(phrases, ["_k", "_i"]).groupBy("regex_id", "round").agg(F.array_sort(F.collect_list(F.struct("_j", "phrase"))).alias("_b"), F.first("kind").alias("kind"), F.first("_p").alias("_p"), F.first("_s").alias("_s"))
-        body = F.array_join(F.transform("_b", lambda x: F.concat(x["phrase"], F.lit(" (and|or) "))), "")
-        part = met.select("regex_id", "kind", "round", F.concat("_p", F.lit(" "), body, F.lit(" "), "_s").alias("assembled"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    own = F.struct("regex_id", "kind", T.erase_macros(T.regex_prefix(F.col("rx"))).alias("p"), T.erase_macros(T.regex_suffix(F.col("rx"))).alias("s"))
+    asked = r.groupBy("_k").agg(F.collect_list(own).alias("_r"))
+    labelled = texts.where("license IS NOT NULL").withColumn("_k", _label_key(F.col("license"))).join(asked.select("_k"), "_k", "left_semi")
+    known = walks.prepared(labelled, ["license", "source"]).groupBy(_label_key(F.col("license")).alias("_k")).agg(F.collect_list("_t").alias("_t"))
+
+    def make(row: dict) -> Iterator[dict[str, list]]:
+        for kinds, lengths in ((("group", "few"), walks.LENGTHS), (("some", "any"), LONG)):
+            here = [x for x in row["_r"] if x["kind"] in kinds]
+            pool = walks.Pool(row["_t"], lengths) if here else []
+            if not len(pool):
+                continue
+            for x in here:
+                made = []
+                for k in range(1, rounds + 1):
+                    times = 1 + int(_draw(x["regex_id"], k, "times") * 4)
+                    body = "".join(f"{pool[int(_draw(x['regex_id'], k, j) * len(pool))]} (and|or) " for j in range(1, times + 1))
+                    made.append(f"{x['p']} {body} {x['s']}")
+                yield {"regex_id": walks.pa.array([x["regex_id"]] * rounds, walks.pa.int64()), "kind": [x["kind"]] * rounds, "round": walks.pa.array(range(1, rounds + 1), walks.pa.int32()), "assembled": made}
+
+    return walks.mapped(asked.join(known, "_k").select("_r", "_t"), make, [], "regex_id bigint, kind string, round int, assembled string")

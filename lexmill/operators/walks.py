@@ -140,6 +140,93 @@ def pool_of(texts: list[dict], lengths: tuple[int, int] = LENGTHS, orders: tuple
     return sorted(out - {""})
 
 
+def _walked(t: dict, ids: dict[str, int], lengths: tuple[int, int], orders: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The phrases of a text for all orders at once: token numbers (-1 beyond the end) and how many; the same draws as ngram_phrases."""
+    sents = [[ids[x] for x in s.split(" ")] for s in t["sents"]]
+    tables, starts, first = [], [], 0
+    for n in orders:
+        tables.append(_ngram_table(sents, n, ids["."]))
+        starts.append(first)
+        first += len(tables[-1][0])
+    shift = np.cumsum([0, *(len(x[2]) for x in tables[:-1])])
+    begin, size, token, after = (np.concatenate(x) for x in ([x[0] + k for x, k in zip(tables, shift)], [x[1] for x in tables], [x[2] for x in tables], [x[3] + k for x, k in zip(tables, starts)]))
+    bases = np.array([_base(t["key"], n, lengths[0]) for n in orders], np.uint64)
+    for k in range(1, t["seeds"] + 1, _CHUNK):
+        own = np.arange(k, min(k + _CHUNK, t["seeds"] + 1))
+        seeds, base, state = np.tile(own, len(orders)), np.repeat(bases, len(own)), np.repeat(np.array(starts, np.int64), len(own))
+        many = lengths[0] + np.floor(_draws(base, seeds, 63) * (lengths[1] - lengths[0] + 1)).astype(np.int64)
+        order = np.argsort(-many, kind="stable")  # walks that have ended are the last ones
+        seeds, base, state, many = seeds[order], base[order], state[order], many[order]
+        live = np.searchsorted(-many, -np.arange(lengths[1]), side="left")
+        out = np.full((len(seeds), lengths[1]), -1, np.int64)
+        for step in range(lengths[1]):
+            n = live[step]
+            at = begin[state[:n]] + np.floor(_draws(base[:n], seeds[:n], step) * size[state[:n]]).astype(np.int64)
+            out[:n, step], state[:n] = token[at], after[at]
+        yield out, many
+
+
+class Pool:
+    """pool_of as numbers: how many phrases it has, and the phrase of a place in its order. A phrase's tokens stand as their ranks, so that no string is made or sorted."""
+
+    def __init__(self, texts: list[dict], lengths: tuple[int, int] = LENGTHS, orders: tuple[int, ...] = ORDERS) -> None:
+        words = sorted({c for t in texts for c in t["clean"]} | {""})
+        self.words, self.plain = words, None
+        if any(" " >= ch for w in words for ch in w):  # a word that sorts before the blank
+            self.plain = pool_of(texts, lengths, orders)
+            return
+        rank = {w: k + 1 for k, w in enumerate(words)}  # 0 ends a phrase, 1 is a word that is cleaned away
+        kind, seen = (">u2" if len(words) < 65_000 else ">u4"), []
+        for t in texts:
+            by = sorted(zip(t["vocab"], t["kept"], t["clean"]), key=lambda x: x[0].encode())  # successors are drawn in this order
+            ids = {v: k for k, (v, _, _) in enumerate(by)}
+            kept, clean = np.array([x[1] for x in by], bool), np.array([rank[x[2]] for x in by], np.int64)
+            for out, many in _walked(t, ids, lengths, orders):
+                seen.append(self._unique(self._cleaned(out, many, kept, clean).astype(kind)))
+        self.rows = (seen[0] if len(seen) == 1 else self._unique(np.concatenate(seen).astype(kind))) if seen else np.zeros((0, 1), kind)
+        if len(self.rows) and not self.rows[0].any():
+            self.rows = self.rows[1:]
+
+    @staticmethod
+    def _unique(rows: np.ndarray) -> np.ndarray:
+        """Distinct rows in the order of their bytes, the high one first."""
+        rows = np.sort(np.ascontiguousarray(rows).view(f"S{rows.itemsize * rows.shape[1]}").ravel()).view(rows.dtype).reshape(-1, rows.shape[1])
+        return rows[np.concatenate([np.ones(min(len(rows), 1), bool), (rows[1:] != rows[:-1]).any(1)])]
+
+    @staticmethod
+    def _cleaned(out: np.ndarray, many: np.ndarray, kept: np.ndarray, clean: np.ndarray) -> np.ndarray:
+        """_cleaned, for all rows: ranks of the words, a 1 for a blank at an end, then 0."""
+        n, width = out.shape
+        places = np.arange(width)
+        inside = places < many[:, None]
+        stays = inside & kept[out]
+        some = stays.any(1)
+        i, j = np.where(some, stays.argmax(1), 0), np.where(some, width - stays[:, ::-1].argmax(1), 0)
+        inside = (places >= i[:, None]) & (places < j[:, None])
+        ranks = np.where(inside, clean[out], 0)
+        words = ranks > 1
+        none = ~words.any(1)
+        r = np.arange(n)
+        left, right = ranks[r, np.minimum(i, width - 1)] == 1, ranks[r, np.maximum(j - 1, 0)] == 1
+        left, right = np.where(none, j - i > 1, left), np.where(none, j - i > 1, right)
+        made = np.zeros((n, width + 2), np.int64)
+        at = np.cumsum(words, 1) - 1 + left[:, None]
+        y, x = np.nonzero(words)
+        made[y, at[y, x]] = ranks[y, x]
+        made[left, 0] = 1
+        end = words.sum(1) + left
+        made[r[right], end[right]] = 1
+        return made
+
+    def __len__(self) -> int:
+        return len(self.rows) if self.plain is None else len(self.plain)
+
+    def __getitem__(self, k: int) -> str:
+        if self.plain is not None:
+            return self.plain[k]
+        return " ".join([self.words[x - 1] for x in self.rows[k].tolist() if x])
+
+
 def mapped(df: DataFrame, make: Callable[[dict], Iterator[dict[str, list]]], keep: list[str], schema: str) -> DataFrame:
     """Rows that ``make`` gives, as columns, for each row of ``df``, behind that row's columns ``keep``."""
     kinds = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] + [schema])

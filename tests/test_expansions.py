@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from lexmill.functions.sampling import sample_regex
+from lexmill.operators import walks
 from lexmill.operators.expansions import assembled
 from lexmill.plans import queries
 
@@ -60,3 +61,18 @@ def test_assembled(spark, tmp_path):
     assert set(queries.queries()["assembled_regexes"](spark, d).repartition(3).collect()) == set(rows)
     none = spark.createDataFrame([], "regex_id long, licenses string, regex string")
     assert assembled(none, spark.createDataFrame([("A", "s", TEXT)], "license string, source string, text string")).count() == 0
+
+
+def test_pool_of_numbers(spark):
+    texts = [("A", "s", TEXT), ("A", "t", "a1 b2 c3. the (c) 5 -- x; y2k a. ... ??? z1. one Two 3rd. 9 8 7. " + TEXT), ("B", "s", "- - -. a"), ("C", "s", "x\u001fy b\u0001c. d e. A b"), ("D", "s", "..")]
+    rows = walks.prepared(spark.createDataFrame(texts, "license string, source string, text string"), ["license", "source"]).select("_t").collect()
+    known = [r._t.asDict(True) for r in rows]
+    for group in ([known[0]], known[:2], known[1:3], [known[3]], [known[4]], known):
+        for lengths in ((6, 30), (12, 59), (1, 3)):
+            pool = walks.Pool(group, lengths)
+            assert [pool[k] for k in range(len(pool))] == walks.pool_of(group, lengths)
+
+
+def test_assembled_without_a_table_of_phrases(spark, tmp_path):
+    plan = queries.queries()["assembled_regexes"](spark, tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ranged" not in plan, "only drawn phrases leave a label's row"
