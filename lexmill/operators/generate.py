@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from lexmill.functions import text as T
 from lexmill.operators.models import START
@@ -80,7 +81,11 @@ def assemble(prefix: Column, phrase: Column, suffix: Column, key: Column, style:
 def augment(fragments: DataFrame, expansions: DataFrame, label: str, text: str, sep: str = ".") -> DataFrame:
     """Fragments with each expansion of their label appended: adds ``expansion`` and ``augmented``.
 
+    ``expansion`` may hold lists: then a list goes through the join as one row and its texts are told apart behind it.
     An equi-join on the label; skew of the fragments' side is left to adaptive execution, as the result itself is
     their product within a label.
     """
-    return fragments.join(expansions.select(label, "expansion"), label).withColumn("augmented", F.concat(F.col(text), F.lit(sep), F.col("expansion")))
+    joined = fragments.join(expansions.select(label, "expansion"), label)
+    if isinstance(expansions.schema["expansion"].dataType, ArrayType):
+        joined = joined.withColumn("expansion", F.explode("expansion"))
+    return joined.withColumn("augmented", F.concat(F.col(text), F.lit(sep), F.col("expansion")))

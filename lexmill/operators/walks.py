@@ -20,14 +20,14 @@ _CHUNK = 20_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def prepared(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """What the walks need of each text: ``keep`` and ``_t``. A text of fewer than two characters has no seed and gives no row.
+def prepared(df: DataFrame, keep: list[str], text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """What the walks need of each text: ``also``, ``keep`` and ``_t``; draws are keyed by ``keep`` and the text. A text of fewer than two characters has no seed and gives no row.
 
     Tokens and words come from the same expressions as the models; sentences and words are joined by a blank, which
     neither holds.
     """
     t = F.col(text)
-    rows = df.where(F.length(t) > 1).select(*keep, t.alias("_x"), F.filter(F.transform(T.train_sentences(t), lambda s: F.array_join(T.tokenize(s), " ")), lambda s: s != "").alias("_s"))
+    rows = df.where(F.length(t) > 1).select(*also, *keep, t.alias("_x"), F.filter(F.transform(T.train_sentences(t), lambda s: F.array_join(T.tokenize(s), " ")), lambda s: s != "").alias("_s"))
     rows = rows.select("*", F.array_distinct(F.split(F.array_join("_s", " "), " ", -1)).alias("_v"))
     clean = F.transform("_v", lambda v: F.lower(T.clean_text(v)))
     x = F.col("_x")
@@ -35,17 +35,25 @@ def prepared(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keep), x)).alias("key"), (F.length(x) - 1).alias("seeds"), F.col("_s").alias("sents"), F.col("_v").alias("vocab"),
         F.transform("_v", lambda v: T.drop_digit_words(v) != "").alias("kept"), clean.alias("clean"), F.array_join(T.chain_words(T.drop_digit_words(x)), " ").alias("w1"), F.array_join(T.chain_words(x), " ").alias("w2"),
     ]
-    return rows.select(*keep, F.struct(*parts).alias("_t"))
+    return rows.select(*also, *keep, F.struct(*parts).alias("_t"))
 
 
 def _draws(base: np.uint64, seeds: np.ndarray, step: int) -> np.ndarray:
     """Numbers in [0, 1) by seed and step: splitmix64 from a base that is hashed from the key."""
     with np.errstate(over="ignore"):
-        z = base + (seeds.astype(np.uint64) * np.uint64(64) + np.uint64(step)) * _GOLDEN
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return _mixed(base + (seeds.astype(np.uint64) * np.uint64(64) + np.uint64(step)) * _GOLDEN)
+
+
+def _mixed(z: np.ndarray) -> np.ndarray:
+    """Splitmix64's mixing of its states, in place; numbers in [0, 1)."""
+    with np.errstate(over="ignore"):
+        z ^= z >> np.uint64(30)
+        z *= np.uint64(0xBF58476D1CE4E5B9)
+        z ^= z >> np.uint64(27)
+        z *= np.uint64(0x94D049BB133111EB)
         z ^= z >> np.uint64(31)
-    return (z >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        z >>= np.uint64(11)
+    return z.astype(np.float64) * 2.0**-53
 
 
 def _base(*key) -> np.uint64:
@@ -140,17 +148,38 @@ def pool_of(texts: list[dict], lengths: tuple[int, int] = LENGTHS, orders: tuple
     return sorted(out - {""})
 
 
-def _walked(t: dict, ids: dict[str, int], lengths: tuple[int, int], orders: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The phrases of a text for all orders at once: token numbers (-1 beyond the end) and how many; the same draws as ngram_phrases."""
-    sents = [[ids[x] for x in s.split(" ")] for s in t["sents"]]
-    tables, starts, first = [], [], 0
-    for n in orders:
-        tables.append(_ngram_table(sents, n, ids["."]))
-        starts.append(first)
-        first += len(tables[-1][0])
-    shift = np.cumsum([0, *(len(x[2]) for x in tables[:-1])])
-    begin, size, token, after = (np.concatenate(x) for x in ([x[0] + k for x, k in zip(tables, shift)], [x[1] for x in tables], [x[2] for x in tables], [x[3] + k for x, k in zip(tables, starts)]))
+def _tables(sents: list[list[int]], orders: tuple[int, ...], stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """_ngram_table of all orders in one table, and each order's first state."""
+    flat = np.array([x for s in sents for x in s], np.int64)
+    lengths = np.array([len(s) for s in sents], np.int64)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    ends = np.append(place[1:] == 0, True) | (flat == stop)
+    context, made, states, rows = np.zeros(len(flat), np.int64), [], 0, 0
+    first: list[int] = []
+    for n in range(2, max(orders) + 1):
+        before = np.where(place >= n - 1, np.roll(flat, n - 1), -1) + 1
+        context = np.unique(context * (flat.max() + 2) + before, return_inverse=True)[1]
+        if n in orders:
+            order, size = np.lexsort((flat, context)), np.bincount(context)
+            after = np.where(ends, context[0], np.roll(context, -1))[order]
+            made.append((np.cumsum(size) - size + rows, size, flat[order], after + states))
+            first.append(int(context[0]) + states)
+            states, rows = states + len(size), rows + len(flat)
+    return *(np.concatenate(x) for x in zip(*made)), first
+
+
+def _walked(t: dict, ids: dict[str, int], code: np.ndarray, lengths: tuple[int, int], orders: tuple[int, ...]) -> Iterator[np.ndarray]:
+    """The cleaned phrases of a text for all orders at once, by the draws of ngram_phrases and as _cleaned has them.
+
+    ``code`` of a token: 0 if _cleaned drops it at an end, 1 if nothing is left of it, else its word's rank. A row: ranks of the
+    words, a 1 for a blank at an end, then 0.
+    """
+    if ("tables", orders) not in t:  # they are the same for all lengths
+        t["tables", orders] = _tables([[ids[x] for x in s.split(" ")] for s in t["sents"]], orders, ids["."])
+    begin, size, token, after, starts = t["tables", orders]
+    size, code = size.astype(np.float64), code[token]
     bases = np.array([_base(t["key"], n, lengths[0]) for n in orders], np.uint64)
+    width = lengths[1] + 1
     for k in range(1, t["seeds"] + 1, _CHUNK):
         own = np.arange(k, min(k + _CHUNK, t["seeds"] + 1))
         seeds, base, state = np.tile(own, len(orders)), np.repeat(bases, len(own)), np.repeat(np.array(starts, np.int64), len(own))
@@ -158,12 +187,27 @@ def _walked(t: dict, ids: dict[str, int], lengths: tuple[int, int], orders: tupl
         order = np.argsort(-many, kind="stable")  # walks that have ended are the last ones
         seeds, base, state, many = seeds[order], base[order], state[order], many[order]
         live = np.searchsorted(-many, -np.arange(lengths[1]), side="left")
-        out = np.full((len(seeds), lengths[1]), -1, np.int64)
+        rows = np.zeros((len(seeds), width), code.dtype)
+        flat, at_row = rows.reshape(-1), np.arange(len(seeds)) * width
+        first, end, last = at_row, at_row.copy(), np.zeros(len(seeds), code.dtype)
+        begun, kept = np.zeros(len(seeds), bool), np.zeros(len(seeds), np.int64)
+        with np.errstate(over="ignore"):
+            base = base + seeds.astype(np.uint64) * np.uint64(64) * _GOLDEN  # _draws but for the step
         for step in range(lengths[1]):
             n = live[step]
-            at = begin[state[:n]] + np.floor(_draws(base[:n], seeds[:n], step) * size[state[:n]]).astype(np.int64)
-            out[:n, step], state[:n] = token[at], after[at]
-        yield out, many
+            at = begin.take(state[:n])
+            at += (_mixed(base[:n] + np.uint64(step * int(_GOLDEN) % 2**64)) * size.take(state[:n])).astype(np.int64)
+            state[:n], own_code = after.take(at), code.take(at)
+            flat[end[:n]] = own_code
+            stays = own_code > 0
+            np.copyto(last[:n], own_code, where=stays)
+            kept[:n] += stays
+            end[:n] += own_code > begun[:n]  # the first token that stays may be a blank; later on only words count
+            begun[:n] |= stays
+        none = (end == first) | ((end == first + 1) & (rows[:, 0] == 1))
+        flat[end] = (last == 1) & ~none
+        rows[none, :2] = (kept[none] > 1)[:, None]
+        yield rows
 
 
 class Pool:
@@ -176,47 +220,21 @@ class Pool:
             self.plain = pool_of(texts, lengths, orders)
             return
         rank = {w: k + 1 for k, w in enumerate(words)}  # 0 ends a phrase, 1 is a word that is cleaned away
-        kind, seen = (">u2" if len(words) < 65_000 else ">u4"), []
+        kind, seen = (("u2", ">u2") if len(words) < 65_000 else ("u4", ">u4")), []
         for t in texts:
             by = sorted(zip(t["vocab"], t["kept"], t["clean"]), key=lambda x: x[0].encode())  # successors are drawn in this order
             ids = {v: k for k, (v, _, _) in enumerate(by)}
-            kept, clean = np.array([x[1] for x in by], bool), np.array([rank[x[2]] for x in by], np.int64)
-            for out, many in _walked(t, ids, lengths, orders):
-                seen.append(self._unique(self._cleaned(out, many, kept, clean).astype(kind)))
-        self.rows = (seen[0] if len(seen) == 1 else self._unique(np.concatenate(seen).astype(kind))) if seen else np.zeros((0, 1), kind)
+            code = np.array([rank[c] if k else 0 for _, k, c in by], kind[0])
+            seen += [self._unique(rows.astype(kind[1])) for rows in _walked(t, ids, code, lengths, orders)]
+        self.rows = (seen[0] if len(seen) == 1 else self._unique(np.concatenate(seen).astype(kind[1]))) if seen else np.zeros((0, 1), kind[1])
         if len(self.rows) and not self.rows[0].any():
             self.rows = self.rows[1:]
 
     @staticmethod
     def _unique(rows: np.ndarray) -> np.ndarray:
         """Distinct rows in the order of their bytes, the high one first."""
-        rows = np.sort(np.ascontiguousarray(rows).view(f"S{rows.itemsize * rows.shape[1]}").ravel()).view(rows.dtype).reshape(-1, rows.shape[1])
-        return rows[np.concatenate([np.ones(min(len(rows), 1), bool), (rows[1:] != rows[:-1]).any(1)])]
-
-    @staticmethod
-    def _cleaned(out: np.ndarray, many: np.ndarray, kept: np.ndarray, clean: np.ndarray) -> np.ndarray:
-        """_cleaned, for all rows: ranks of the words, a 1 for a blank at an end, then 0."""
-        n, width = out.shape
-        places = np.arange(width)
-        inside = places < many[:, None]
-        stays = inside & kept[out]
-        some = stays.any(1)
-        i, j = np.where(some, stays.argmax(1), 0), np.where(some, width - stays[:, ::-1].argmax(1), 0)
-        inside = (places >= i[:, None]) & (places < j[:, None])
-        ranks = np.where(inside, clean[out], 0)
-        words = ranks > 1
-        none = ~words.any(1)
-        r = np.arange(n)
-        left, right = ranks[r, np.minimum(i, width - 1)] == 1, ranks[r, np.maximum(j - 1, 0)] == 1
-        left, right = np.where(none, j - i > 1, left), np.where(none, j - i > 1, right)
-        made = np.zeros((n, width + 2), np.int64)
-        at = np.cumsum(words, 1) - 1 + left[:, None]
-        y, x = np.nonzero(words)
-        made[y, at[y, x]] = ranks[y, x]
-        made[left, 0] = 1
-        end = words.sum(1) + left
-        made[r[right], end[right]] = 1
-        return made
+        whole = np.sort(np.ascontiguousarray(rows).view(f"S{rows.itemsize * rows.shape[1]}").ravel())
+        return whole[np.concatenate([np.ones(min(len(whole), 1), bool), whole[1:] != whole[:-1]])].view(rows.dtype).reshape(-1, rows.shape[1])
 
     def __len__(self) -> int:
         return len(self.rows) if self.plain is None else len(self.plain)

@@ -14,7 +14,7 @@ from lexmill.operators import fragments as fr
 from lexmill.operators import generate as gen
 from lexmill.operators import labels as lab
 from lexmill.operators import models, signatures, walks
-from lexmill.operators.expansions import assembled, expansions
+from lexmill.operators.expansions import assembled, expansion_lists, expansions
 from lexmill.runtime import new_path, read_table, spread
 from lexmill.sources import catalogs, compaction
 
@@ -376,14 +376,16 @@ def union_regexes(spark, d):
 def augment_fragment(spark, d):
     """Fragments with each expansion of their label appended."""
     base = files(spark, d).where("content <> ''").select("file_id", "dirname", "content")
-    return gen.augment(base, _expansions(spark, d).withColumnRenamed("licenses", "dirname"), "dirname", "content").select("file_id", "augmented")
+    # Regexes of labels that no fragment has are not expanded: nothing would meet them.
+    asked = rules(spark, d).join(files(spark, d).select(F.col("dirname").alias("licenses")).distinct(), "licenses", "left_semi")
+    return gen.augment(base, expansion_lists(asked, licenses(spark, d)).withColumnRenamed("licenses", "dirname"), "dirname", "content").select("file_id", "augmented")
 
 
 @query
 def augment_cross(spark, d):
     """Paragraphs of the licence texts with each expansion of their licence."""
     pieces = fr.paragraph_rows(licenses(spark, d).select("license", "source", "text").where("license IS NOT NULL"))
-    return gen.augment(pieces, _expansions(spark, d).withColumnRenamed("licenses", "license"), "license", "fragment", " ").select("license", "source", "pos", "augmented")
+    return gen.augment(pieces, expansion_lists(rules(spark, d), licenses(spark, d)).withColumnRenamed("licenses", "license"), "license", "fragment", " ").select("license", "source", "pos", "augmented")
 
 
 @query

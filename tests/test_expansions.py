@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
+from lexmill.functions import sampling
 from lexmill.functions.sampling import sample_regex
 from lexmill.operators import walks
-from lexmill.operators.expansions import assembled
+from lexmill.operators.expansions import _frame, _sampled, assembled, chain_strings, ngram_strings
 from lexmill.plans import queries
 
 TEXT = "the holder may copy works, pass them on to others without fee. the author can sell each copy of those works to any buyer"
@@ -76,3 +77,30 @@ def test_pool_of_numbers(spark):
 def test_assembled_without_a_table_of_phrases(spark, tmp_path):
     plan = queries.queries()["assembled_regexes"](spark, tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "ranged" not in plan, "only drawn phrases leave a label's row"
+
+
+def test_frames_give_the_words_of_the_whole_regex():
+    parts = [("grant ", " licen[cs]e"), ("a?b", "terms?"), ("", ""), ("x{1,3}", "y{2}"), ("a|b", "c"), ("(a", "b)"), ("(?x) a", " b"), ("(?i)a", "b"), ("a\\", "b"), ("[a-", "z]"), ("", "*c"), ("a ", "+ (b|c  d)?"), ("(?=a)", "b"), ("a.b", ""), ("(x|y  )", "\t z")]
+    for before, after in parts:
+        for drawn in (["one two"], [" one", "two ", " "], ["a", "b", "c", "d"], ["", "x\ny"], ["a.b", "c"], ["*", "2)"]):
+            for k in (0, 7):
+                plain = not any(map(sampling.Frame.marks.search, drawn))
+                pieces = [f"{drawn[0]} ", *(f" {x} " for x in drawn[1:]), " "]
+                want = [re.sub(r"\s+", " ", x) for x in sample_regex(f"{before} {''.join(f'{x} (and|or) ' for x in drawn)} {after}", seed=k)]
+                assert _sampled(_frame(f"{before} ", f" {after}"), f"{before} ", f" {after}", pieces, plain, k) == want, (before, after, drawn)
+                body = " ".join(drawn)
+                want = [re.sub(r"\s+", " ", x) for x in sample_regex(f"{before}{body} {after}", seed=k)]
+                assert _sampled(_frame(before, f" {after}"), before, f" {after}", [body], plain, k) == want, (before, after, drawn)
+
+
+def test_regex_is_parsed_once_for_all_rounds(monkeypatch):
+    parsed = []
+    real = sampling._parser.parse
+    monkeypatch.setattr(sampling._parser, "parse", lambda *x: parsed.append(x) or real(*x))
+    assert len(ngram_strings("grant ", " licen[cs]e", ["one two", "three"], 1)) >= 200 and len(chain_strings("grant ", " licen[cs]e", lambda rng: rng.choice("abcdefghijklmnop"), 1)) >= 100
+    assert len(parsed) == 2
+
+
+def test_only_labels_of_fragments_are_expanded_and_lists_are_joined(spark, tmp_path):
+    plan = queries.queries()["augment_fragment"](spark, tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.index("Generate explode(expansion") < plan.index("MapInArrow") and plan.count("LeftSemi") >= 2
